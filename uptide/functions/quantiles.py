@@ -23,6 +23,7 @@ def exact_quantiles(
     either side); a second pass counts values, keeping a value only inside a bracket and
     just a count between brackets. At most about ``4 n / accuracy`` distinct values per
     rank reach the final ordering, and the answer is exact because every row is counted.
+    Up to ``4 accuracy`` rows every value is kept: there a bracket is no wider than a rank.
     """
     probabilities = sorted(probabilities)
     margin = 2.0 / accuracy
@@ -32,7 +33,8 @@ def exact_quantiles(
             *[
                 F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias(f"c{i}")
                 for i, c in enumerate(columns)
-            ]
+            ],
+            F.count(F.lit(1)).alias("n"),
         ).alias("__edges")
     )
     # the edges are one row of a few dozen numbers, whatever the size of the input
@@ -45,7 +47,7 @@ def exact_quantiles(
 
     def cell(i: int):
         value, edge = F.col(f"v{i}"), F.col("__edges")[f"c{i}"]
-        inside, segment = F.lit(False), F.lit(0)
+        inside, segment = F.col("__edges.n") <= 4 * accuracy, F.lit(0)
         for lo, hi in zip(low, high):
             inside = inside | ((value >= edge[lo]) & (value <= edge[hi]))
             segment = segment + (value >= edge[lo]).cast("int") + (value > edge[hi]).cast("int")
@@ -97,6 +99,16 @@ def exact_quantiles(
     return found.select(F.element_at(names, F.col("c") + 1).alias("column"), F.inline(cells))
 
 
+def with_quantiles(
+    df: DataFrame, source: DataFrame, columns: Sequence[str], probabilities: Sequence[float], name: str = "__q"
+) -> DataFrame:
+    """``df`` plus a struct column with quantiles of ``source``: field ``q<column index>_<probability index>``.
+
+    The quantiles are one scalar subquery, referenced once; use the struct column afterwards.
+    """
+    return df.select("*", quantile_row(source, columns, probabilities).scalar().alias(name))
+
+
 def quantile_row(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """The same quantiles as one row with a struct ``q`` whose fields are ``<column index>_<probability index>``."""
     probabilities = sorted(probabilities)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from uptide.functions.quantiles import quantile_row
+from uptide.functions.quantiles import with_quantiles
 from uptide.functions.scalar import clean_name, parse_timestamp
 
 # Fixed value: fill for a text column without any value.
@@ -77,15 +77,18 @@ def impute_nulls(
     column without values gets ``Desconhecido``. Only the listed columns are touched.
     """
     fills: dict[str, Column] = {}
+    filled = df
     if numeric:
-        medians = quantile_row(df, numeric, [0.5]).scalar()
+        filled = with_quantiles(filled, df, numeric, [0.5], "__median")
         for i, c in enumerate(numeric):
-            fills[c] = F.coalesce(F.col(c).cast("double"), medians[f"q{i}_0"], F.lit(empty_numeric).cast("double"))
+            fills[c] = F.coalesce(
+                F.col(c).cast("double"), F.col(f"__median.q{i}_0"), F.lit(empty_numeric).cast("double")
+            )
     if text:
-        top = modes(df, text).scalar()
+        filled = filled.select("*", modes(df, text).scalar().alias("__mode"))
         for i, c in enumerate(text):
-            fills[c] = F.coalesce(F.col(c), top[f"m{i}"], F.lit(UNKNOWN_TEXT))
-    return df.withColumns(fills)
+            fills[c] = F.coalesce(F.col(c), F.col(f"__mode.m{i}"), F.lit(UNKNOWN_TEXT))
+    return filled.select(*[fills.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
 def convert_date_columns(df: DataFrame, formats: Sequence[str], marker: str = "data") -> DataFrame:

@@ -86,7 +86,10 @@ def entity_summary(df: DataFrame, *, entity: str, produced: str, scrapped: str,
             F.coalesce(F.try_divide(F.col("total_refugado").cast("double"), F.col("total_produzido")) * 100, F.lit(0.0)),
         )
     )
-    fleet = per_entity.agg(F.struct(F.avg("taxa_refugo").alias("rate"), F.avg("media_dias").alias("days")).alias("f")).scalar()
-    return per_entity.select(
-        "*", fleet["rate"].alias("media_frota_taxa"), fleet["days"].alias("media_frota_dias")
+    fleet = per_entity.agg(F.struct(F.avg("taxa_refugo").alias("rate"), F.avg("media_dias").alias("days")))
+    columns = per_entity.columns
+    return per_entity.select("*", fleet.scalar().alias("__fleet")).select(
+        *columns,
+        F.col("__fleet.rate").alias("media_frota_taxa"),
+        F.col("__fleet.days").alias("media_frota_dias"),
     )

@@ -8,13 +8,16 @@ statistics and reports. Every function has its SQL twin as a CTE below it.
 from __future__ import annotations
 
 import datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 AS_OF = datetime.date(2000, 7, 1)
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a lazy frame; the handle is kept, so its footers are read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

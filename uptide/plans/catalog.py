@@ -1,6 +1,6 @@
 """Imports every query module, which fills the registry."""
 
-from uptide.plans import maintenance  # noqa: F401
+from uptide.plans import cleaning, feature_tables, maintenance, profiling, reporting  # noqa: F401
 from uptide.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -110,7 +110,8 @@ urg AS (SELECT *, CASE WHEN left_days IS NULL THEN 'DESCONHECIDO' WHEN left_days
     f"""WITH {PRESCRIPTION_SQL}
 SELECT equipamento, CAST(last AS VARCHAR) AS data_ultima_substituicao, round(t_base, 1) AS "T_base_dias",
   round(amp_a, 4) AS amplitude_a_atual, round(amp_b, 4) AS amplitude_b_atual, round(wear, 4) AS fator_desgaste,
-  round(kg, 2) AS massa_atual_kg, round(w_kg, 2) AS massa_mediana_janelas_kg, round(mass_f, 4) AS fator_massa,
+  CAST(CAST(CAST(kg AS DECIMAL(20,7)) AS DECIMAL(20,2)) AS DOUBLE) AS massa_atual_kg,
+  CAST(CAST(CAST(w_kg AS DECIMAL(20,6)) AS DECIMAL(20,2)) AS DOUBLE) AS massa_mediana_janelas_kg, round(mass_f, 4) AS fator_massa,
   round(t, 1) AS "T_prescrito_dias", idle AS dias_ociosidade, CAST(due AS VARCHAR) AS data_prescrita,
   '2000-07-01' AS data_referencia, left_days AS dias_restantes, urgencia FROM urg""",
 )
