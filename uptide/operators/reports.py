@@ -18,10 +18,11 @@ def monthly_cells(
     """Production per entity, month and compound, with the number of production days.
 
     Days are counted by aggregating to days first, which spreads a busy entity over its
-    days and needs no distinct-expansion of the rows. NULL entities and compounds drop out.
+    days and needs no distinct-expansion of the rows. Records without a compound or date
+    stay as cells with a NULL: they count in an entity's totals, not in its lists.
     """
     days = (
-        production.filter(F.col(entity).isNotNull() & F.col(compound).isNotNull() & F.col(ts).isNotNull())
+        production.filter(F.col(entity).isNotNull())
         .groupBy(F.col(entity).alias("equipamento"), F.to_date(ts).alias("day"), F.col(compound).alias("composto"))
         .agg(
             F.sum(F.coalesce(F.col(produced), F.lit(0))).alias("qtd"),
@@ -32,7 +33,7 @@ def monthly_cells(
     return days.groupBy("equipamento", month_start(F.col("day")).alias("mes"), "composto").agg(
         F.sum("qtd").alias("qtd"),
         F.sum("ref").alias("ref"),
-        F.count(F.lit(1)).alias("dias"),
+        F.count("day").alias("dias"),
         F.sum("registros").alias("registros"),
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
@@ -50,7 +51,7 @@ def monthly_by_compound(cells: DataFrame) -> DataFrame:
         "ref",
         "dias",
         F.try_divide(F.col("qtd").cast("double") * 100, total).alias("pct_total"),
-    )
+    ).filter(F.col("composto").isNotNull() & F.col("ano_mes").isNotNull())
 
 
 def compound_summary(cells: DataFrame) -> DataFrame:
@@ -58,21 +59,24 @@ def compound_summary(cells: DataFrame) -> DataFrame:
     total = F.sum("qtd").over(Window.partitionBy("equipamento"))
     return (
         cells.groupBy("equipamento", "composto")
-        .agg(F.sum("qtd").alias("qtd"), F.sum("ref").alias("ref"), F.count(F.lit(1)).alias("meses"))
+        .agg(F.sum("qtd").alias("qtd"), F.sum("ref").alias("ref"), F.count("mes").alias("meses"))
         .withColumn("pct_total", F.try_divide(F.col("qtd").cast("double") * 100, total))
+        .filter(F.col("composto").isNotNull())
         .withColumn("taxa_refugo", F.coalesce(F.try_divide(F.col("ref").cast("double") * 100, F.col("qtd")), F.lit(0.0)))
     )
 
 
 def compound_rollup(cells: DataFrame) -> DataFrame:
     """Compound summary with a TOTAL row per entity and one for everything; months are counted anew per level."""
-    level = F.grouping_id()
-    return cells.rollup("equipamento", "composto").agg(
-        level.cast("int").alias("nivel"),
+    levels = cells.rollup("equipamento", "composto").agg(
+        F.grouping_id().cast("int").alias("nivel"),
         F.sum("qtd").alias("qtd"),
         F.sum("ref").alias("ref"),
         F.count_distinct("mes").alias("meses"),
-    ).withColumn("composto", F.when(F.col("nivel") == 0, F.col("composto")).otherwise("TOTAL"))
+    )
+    return levels.withColumn("composto", F.when(F.col("nivel") == 0, F.col("composto")).otherwise("TOTAL")).filter(
+        F.col("composto").isNotNull()
+    )
 
 
 def entity_kpis(cells: DataFrame) -> DataFrame:
@@ -85,18 +89,19 @@ def entity_kpis(cells: DataFrame) -> DataFrame:
         F.max("last_day").alias("last_day"),
     )
     months = cells.groupBy("equipamento", "mes").agg(F.sum("qtd").alias("qtd"))
-    lead = F.struct(-F.col("qtd"), F.col("composto"))
+    named = F.col("composto").isNotNull()
+    lead = F.when(named, F.struct(-F.col("qtd"), F.col("composto")))
     head = compounds.groupBy("equipamento").agg(
         F.sum("qtd").alias("total_produzido"),
         F.sum("ref").alias("total_refugado"),
         F.min("first_day").alias("inicio"),
         F.max("last_day").alias("fim"),
-        F.count(F.lit(1)).alias("n_compostos"),
+        F.count("composto").alias("n_compostos"),
         F.sum("registros").alias("registros"),
         F.min_by("composto", lead).alias("composto_lider"),
-        F.max("qtd").alias("qtd_lider"),
+        F.max(F.when(named, F.col("qtd"))).alias("qtd_lider"),
     )
-    n_months = months.groupBy("equipamento").agg(F.count(F.lit(1)).alias("n_meses"))
+    n_months = months.groupBy("equipamento").agg(F.count("mes").alias("n_meses"))
     rate = F.coalesce(F.try_divide(F.col("total_refugado").cast("double") * 100, F.col("total_produzido")), F.lit(0.0))
     return (
         head.join(n_months, "equipamento")
@@ -108,7 +113,7 @@ def entity_kpis(cells: DataFrame) -> DataFrame:
 
 def monthly_extremes(cells: DataFrame) -> DataFrame:
     """Peak month with its output, mean (truncated) and smallest monthly output per entity; earliest month on ties."""
-    months = cells.groupBy("equipamento", "mes").agg(F.sum("qtd").alias("qtd"))
+    months = cells.filter(F.col("mes").isNotNull()).groupBy("equipamento", "mes").agg(F.sum("qtd").alias("qtd"))
     return months.groupBy("equipamento").agg(
         F.min_by("mes", F.struct(-F.col("qtd"), F.col("mes"))).alias("mes_pico"),
         F.max("qtd").alias("pico"),
@@ -131,7 +136,8 @@ def top_compounds(cells: DataFrame, top: int = 6) -> DataFrame:
     Only the first ``top`` rows of an entity enter the ranking (Spark limits each group
     before the shuffle); the rest is the entity's total minus those rows.
     """
-    compounds = cells.groupBy("equipamento", "composto").agg(F.sum("qtd").alias("qtd"), F.sum("ref").alias("ref"))
+    named = cells.filter(F.col("composto").isNotNull())
+    compounds = named.groupBy("equipamento", "composto").agg(F.sum("qtd").alias("qtd"), F.sum("ref").alias("ref"))
     totals = compounds.groupBy("equipamento").agg(
         F.sum("qtd").alias("all_qtd"), F.sum("ref").alias("all_ref"), F.count(F.lit(1)).alias("all_n")
     )

@@ -25,6 +25,13 @@ def local_session(cores: int | str = "*", *, memory: str = "8g", partitions: int
     return spark
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Make sure a checkpoint folder is set: the cluster's, or a new one in local mode."""
+    if not spark.sparkContext.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(configured or shared_folder(spark, "checkpoints"))
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """New folder path below the cluster's ``spark.checkpoint.dir``; a temporary one in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
