@@ -28,40 +28,29 @@ def exact_quantiles(
     probabilities = sorted(probabilities)
     margin = 2.0 / accuracy
     edges = sorted({min(1.0, max(0.0, p + s)) for p in probabilities for s in (-margin, margin)})
+    # the edges are one row of a few dozen numbers, whatever the size of the input
     brackets = df.agg(
         F.struct(
-            *[
-                F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias(f"c{i}")
-                for i, c in enumerate(columns)
-            ],
+            F.array(*[F.percentile_approx(F.col(c).cast("double"), edges, accuracy) for c in columns]).alias("edges"),
             F.count(F.lit(1)).alias("n"),
-        ).alias("__edges")
+        )
     )
-    # the edges are one row of a few dozen numbers, whatever the size of the input
-    located = df.select(
-        *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)],
-        brackets.scalar().alias("__edges"),
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    located = (
+        df.select(F.inline(cells))
+        .filter(F.col("v").isNotNull())
+        .select("c", "v", brackets.scalar().alias("b"))
+        .select("c", "v", (F.col("b.n") <= 4 * accuracy).alias("inside"), F.col("b.edges")[F.col("c")].alias("edge"))
     )
-    low = [edges.index(min(1.0, max(0.0, p - margin))) for p in probabilities]
-    high = [edges.index(min(1.0, max(0.0, p + margin))) for p in probabilities]
-
-    def cell(i: int):
-        value, edge = F.col(f"v{i}"), F.col("__edges")[f"c{i}"]
-        inside, segment = F.col("__edges.n") <= 4 * accuracy, F.lit(0)
-        for lo, hi in zip(low, high):
-            inside = inside | ((value >= edge[lo]) & (value <= edge[hi]))
-            segment = segment + (value >= edge[lo]).cast("int") + (value > edge[hi]).cast("int")
-        return F.struct(
-            F.lit(i).alias("c"),
-            segment.alias("segment"),
-            F.when(inside, value).alias("value"),
-            value.isNull().alias("missing"),
-        )
-
+    inside, segment = F.col("inside"), F.lit(0)
+    for p in probabilities:
+        lo = F.col("edge")[edges.index(max(0.0, p - margin))]
+        hi = F.col("edge")[edges.index(min(1.0, p + margin))]
+        above_lo, above_hi = F.col("v") >= lo, F.col("v") > hi
+        inside = inside | (above_lo & ~above_hi)
+        segment = segment + above_lo.cast("int") + above_hi.cast("int")
     counted = (
-        located.select(F.inline(F.array(*[cell(i) for i in range(len(columns))])))
-        .filter(~F.col("missing"))
-        .groupBy("c", "segment", "value")
+        located.groupBy("c", segment.alias("segment"), F.when(inside, F.col("v")).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranked = Window.partitionBy("c").orderBy("segment", "value")

@@ -70,8 +70,9 @@ def impute_nulls(
     numeric: Sequence[str] = (),
     text: Sequence[str] = (),
     empty_numeric: float | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Fill NULLs: exact median for ``numeric``, mode for ``text``.
+    """Fill NULLs: exact median for ``numeric``, mode for ``text``, taken from ``source`` (default: ``df``).
 
     A numeric column without values gets ``empty_numeric`` (NULL keeps it NULL), a text
     column without values gets ``Desconhecido``. Only the listed columns are touched.
@@ -79,13 +80,13 @@ def impute_nulls(
     fills: dict[str, Column] = {}
     filled = df
     if numeric:
-        filled = with_quantiles(filled, df, numeric, [0.5], "__median")
+        filled = with_quantiles(filled, source or df, numeric, [0.5], "__median")
         for i, c in enumerate(numeric):
             fills[c] = F.coalesce(
                 F.col(c).cast("double"), F.col(f"__median.q{i}_0"), F.lit(empty_numeric).cast("double")
             )
     if text:
-        filled = filled.select("*", modes(df, text).scalar().alias("__mode"))
+        filled = filled.select("*", modes(source or df, text).scalar().alias("__mode"))
         for i, c in enumerate(text):
             fills[c] = F.coalesce(F.col(c), F.col(f"__mode.m{i}"), F.lit(UNKNOWN_TEXT))
     return filled.select(*[fills.get(c, F.col(c)).alias(c) for c in df.columns])

@@ -106,13 +106,19 @@ def wear_per_thousand(wear_a: Column, wear_b: Column, quantity: Column) -> Colum
 
 
 def measurement_features(
-    fact: DataFrame, maintenance: DataFrame, *, entity: str = "entity", quantity: str = "qty_produced_acumulado"
+    fact: DataFrame,
+    maintenance: DataFrame,
+    *,
+    entity: str = "entity",
+    quantity: str = "qty_produced_acumulado",
+    records: DataFrame | None = None,
 ) -> DataFrame:
     """Attach measurements, wear rates, wear index and wear per 1000 pieces to every record.
 
     ``maintenance`` has the entity, ``interval_days`` and the four measures. Gaps in the
     measurements are filled with the median over all records (0 when all are missing);
-    rates, index and per-1000 wear are computed before that filling.
+    rates, index and per-1000 wear are computed before that filling. ``records`` are the
+    same rows before further columns were added: the medians then skip computing those.
     """
     dim = component_wear(maintenance).select(entity, F.col("interval_days").alias("intervalo_manutencao"), *MEASUREMENT_FEATURES)
     a, b = F.col("desgaste_componente_a"), F.col("desgaste_componente_b")
@@ -128,7 +134,8 @@ def measurement_features(
             "desgaste_por_1000_pecas": wear_per_thousand(a, b, F.col(quantity)),
         }
     )
-    return impute_nulls(wide, numeric=MEASUREMENT_FEATURES, empty_numeric=0.0)
+    weighed = (fact if records is None else records).select(entity).join(dim, entity, "left")
+    return impute_nulls(wide, numeric=MEASUREMENT_FEATURES, empty_numeric=0.0, source=weighed)
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], *, max_categories: int = 50, prefixes: Mapping[str, str] | None = None) -> DataFrame:

@@ -62,17 +62,28 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def pearson(x: str, y: str) -> Column:
-    """Correlation over rows where both are present; NULL for a constant (``corr`` would raise)."""
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
-    return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
+def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson correlation per pair, over rows where both are present; NULL for a constant side.
 
+    Rows are unpivoted to pairs and combined in the map tasks, so the plan has the same few
+    aggregates for any number of columns. ``corr`` raises on a constant, hence the guard.
+    """
+
+    def both(column: str, other: str) -> Column:
+        return F.when(F.col(other).isNotNull(), F.col(column).cast("double"))
 
-def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     cells = [
-        F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), pearson(x, y).alias("corr")) for x, y in pairs
+        F.struct(F.lit(i).alias("pair"), both(x, y).alias("x"), both(y, x).alias("y")) for i, (x, y) in enumerate(pairs)
     ]
-    return df.agg(F.array(*cells).alias("r")).select(F.inline("r"))
+    varying = (F.max("x") > F.min("x")) & (F.max("y") > F.min("y"))
+    rows = (
+        df.select(F.inline(F.array(*cells)))
+        .groupBy("pair")
+        .agg(F.when(varying, F.corr("x", "y")).alias("corr"))
+    )
+    names = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs])
+    pair = names[F.col("pair")]
+    return rows.select(pair["x"].alias("feature_x"), pair["y"].alias("feature_y"), "corr")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

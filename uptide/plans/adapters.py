@@ -35,8 +35,11 @@ def customer_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Urgent orders before AS_OF as replacements, measured by the lines of the order."""
+def customer_maintenance(spark: SparkSession, sf_dir: str, *, measured: bool = True) -> DataFrame:
+    """Urgent orders before AS_OF as replacements, measured by the lines of the order.
+
+    ``measured=False`` leaves the measures NULL and saves reading the lines.
+    """
     orders = table(spark, sf_dir, "orders").filter(
         (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") < F.lit(AS_OF))
     )
@@ -50,7 +53,12 @@ def customer_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min(F.round(F.col("l_extendedprice") / 1000, 3)).alias("componente_b_min"),
         )
     )
-    return orders.join(measures, "o_orderkey", "left").select(
+    names = [c for c in measures.columns if c.startswith("componente")]
+    if measured:
+        orders = orders.join(measures, "o_orderkey", "left")
+    else:
+        orders = orders.withColumns({c: F.lit(None).cast("double") for c in names})
+    return orders.select(
         F.col("o_custkey").alias("equipamento"),
         F.to_date("o_orderdate").alias("data_ultima_substituicao"),
         F.lit(None).cast("date").alias("data_penultima_substituicao"),

@@ -74,7 +74,9 @@ wear AS (SELECT w1.* EXCLUDE (a_max, a_min, a_range, wa, b_max, b_min, b_range,
 
 
 def wear(spark: SparkSession, sf: str) -> DataFrame:
-    return features.measurement_features(cumulative(spark, sf), a.supplier_maintenance(spark, sf))
+    return features.measurement_features(
+        cumulative(spark, sf), a.supplier_maintenance(spark, sf), records=target(spark, sf)
+    )
 
 
 @query(

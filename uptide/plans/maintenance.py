@@ -16,7 +16,7 @@ def _ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
-    return events.event_history(a.customer_maintenance(spark, sf), a.customer_preventive(spark, sf))
+    return events.event_history(a.customer_maintenance(spark, sf, measured=False), a.customer_preventive(spark, sf))
 
 
 @query(

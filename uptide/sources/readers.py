@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from uptide import schema
@@ -9,6 +10,7 @@ from uptide.functions.scalar import parse_timestamp, safe_double
 from uptide.operators.clean import combine_sources, drop_key_duplicates, standardize, with_entity_prefix
 from uptide.operators.events import MEASURES
 from uptide.operators.features import DEFAULT_INTERVAL_DAYS, with_defaults
+from uptide.sources.workbooks import named_cells, read_cells
 
 DEDUP_KEYS = ("order_id", "prod_ts", "resource", "product", "qty_produced")
 
@@ -74,6 +76,37 @@ def collect_production(spark: SparkSession, folder: str) -> DataFrame:
     return drop_key_duplicates(merged, DEDUP_KEYS, ["source_rank", "source_file"]).drop("source_rank")
 
 
+def production_from_cells(cells: DataFrame) -> DataFrame:
+    """Production records from workbook cells in file order; each sheet's first row is its header."""
+    rows = named_cells(cells.filter(F.col("row_no") > 1), schema.PRODUCTION.names)
+    typed = [F.col(n).try_cast(schema.PRODUCTION_TYPES[n]).alias(n) for n in schema.PRODUCTION.names]
+    return _typed(rows.select(*typed, "source_file"), F.col("resource"))
+
+
+def read_production_workbooks(spark: SparkSession, folder: str, pattern: str = "EQ-*.xlsx") -> DataFrame:
+    return production_from_cells(read_cells(spark, folder, pattern))
+
+
+def read_maintenance_workbooks(spark: SparkSession, folder: str, pattern: str = "dados_manutencao*.xlsx") -> DataFrame:
+    """Maintenance sheets with a blank first column and two header rows."""
+    return maintenance_from_cells(named_cells(read_cells(spark, folder, pattern), schema.MAINTENANCE.names, 1))
+
+
+def read_preventive_workbooks(spark: SparkSession, folder: str, pattern: str = "historico_preventivas*.xlsx") -> DataFrame:
+    return preventive_from_cells(named_cells(read_cells(spark, folder, pattern), schema.PREVENTIVE.names))
+
+
+def first_folder_with(spark: SparkSession, folders: list[str], *patterns: str) -> str | None:
+    """First existing folder holding a file that matches one of the glob patterns."""
+    for folder in folders:
+        try:
+            if any(has_files(spark, folder, p) for p in patterns):
+                return folder
+        except AnalysisException:  # the folder does not exist
+            continue
+    return None
+
+
 def has_files(spark: SparkSession, folder: str, pattern: str) -> bool:
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
     return not files.isEmpty()
