@@ -95,7 +95,8 @@ def wear_index(wear_a: Column, wear_b: Column) -> Column:
     """Weighted wear on a 0-100 scale, capped at 100 per component; negative wear is not floored."""
 
     def score(wear: Column, part: str) -> Column:
-        return F.coalesce(F.least(F.lit(100.0), wear / WEAR_SPAN[part] * 100), F.lit(0.0))
+        # least skips NULLs, so a missing wear is tested for first
+        return F.when(wear.isNotNull(), F.least(F.lit(100.0), wear / WEAR_SPAN[part] * 100)).otherwise(0.0)
 
     return score(wear_a, "a") * WEAR_WEIGHT["a"] + score(wear_b, "b") * WEAR_WEIGHT["b"]
 

@@ -64,7 +64,8 @@ w0 AS (SELECT c.* EXCLUDE (interval_days), coalesce(c.interval_days, 365) AS iv,
   a_max - a_min AS a_range, a_max - 20.0::DOUBLE AS wa, b_max - b_min AS b_range, 20.0::DOUBLE - b_min AS wb
   FROM cum c LEFT JOIN s_dim m ON m.entity = c.entity),
 w1 AS (SELECT *, CASE WHEN wa IS NOT NULL AND iv > 0 THEN wa / iv ELSE 0 END AS ra, CASE WHEN wb IS NOT NULL AND iv > 0 THEN wb / iv ELSE 0 END AS rb,
-  coalesce(least(100.0::DOUBLE, wa / 0.6::DOUBLE * 100), 0) * 0.6::DOUBLE + coalesce(least(100.0::DOUBLE, wb / 2.0::DOUBLE * 100), 0) * 0.4::DOUBLE AS idx,
+  CASE WHEN wa IS NULL THEN 0 ELSE least(100.0::DOUBLE, wa / 0.6::DOUBLE * 100) END * 0.6::DOUBLE
+    + CASE WHEN wb IS NULL THEN 0 ELSE least(100.0::DOUBLE, wb / 2.0::DOUBLE * 100) END * 0.4::DOUBLE AS idx,
   CASE WHEN qty_cum > 0 THEN (coalesce(wa, 0) + coalesce(wb, 0)) / qty_cum * 1000 ELSE 0 END AS per1000 FROM w0),
 wm AS (SELECT median(a_max) AS m1, median(a_min) AS m2, median(a_range) AS m3, median(wa) AS m4, median(b_max) AS m5,
   median(b_min) AS m6, median(b_range) AS m7, median(wb) AS m8 FROM w1),
