@@ -11,8 +11,15 @@ import time
 from uptide.plans.catalog import QUERIES
 from uptide.session import local_session
 
-# Queries that fit models or run streams are left out of the headline figure.
-SLOW = {"train_linear_regression", "train_decision_tree", "train_random_forest", "train_xgboost", "model_forecast"}
+# Headline queries: every family of operators, each reading whole tables.
+HEADLINE = (
+    "prescription", "operation_windows", "idle_days", "event_history", "recent_history", "consolidated_forecast",
+    "union_sources", "dedup_exact", "dedup_keyed", "only_new_rows", "impute_nulls", "period_summary",
+    "maintenance_target", "cumulative_features", "wear_features", "one_hot", "entity_day_grain", "preventive_features",
+    "entity_statistics", "describe_numeric", "correlation_matrix", "iqr_outliers", "boxplot_by_quartile", "sorted_curve",
+    "monthly_by_compound", "compound_rollup", "entity_kpis", "top_compounds_with_others", "monthly_spine",
+    "model_ranking", "hash_split", "run_comparison", "snapshot_diff", "stream_monthly",
+)
 
 
 def seconds(spark, name: str, sf_dir: str) -> float:
@@ -25,7 +32,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    names = sys.argv[1:] or [n for n in QUERIES if n not in SLOW]
+    names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, memory=os.environ.get("BENCH_MEMORY", "12g"))
     timings: dict[str, float] = {}
     for name in names:

@@ -23,7 +23,9 @@ def test_no_cross_join_and_no_python(spark, sf, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     text = plan(QUERIES["period_filter"](spark, sf))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(l_shipdate" in text and "LessThanOrEqual(l_shipdate" in text
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} == {"l_orderkey", "l_linenumber", "l_shipdate"}

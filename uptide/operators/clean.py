@@ -165,14 +165,20 @@ def append_new_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.unionByName(incoming).dropDuplicates()
 
 
+def _marked(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    return existing.select(*existing.columns, F.lit(0).alias("__new")).unionByName(
+        incoming.select(*incoming.columns, F.lit(1).alias("__new"))
+    )
+
+
 def only_new_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Distinct incoming rows that do not exist yet; NULLs compare as equal."""
-    old, new = existing.alias("old"), incoming.dropDuplicates().alias("new")
-    same = [F.col(f"new.`{c}`").eqNullSafe(F.col(f"old.`{c}`")) for c in incoming.columns]
-    condition = same[0]
-    for test in same[1:]:
-        condition = condition & test
-    return new.join(old, condition, "left_anti")
+    """Distinct incoming rows that do not exist yet; NULLs compare as equal.
+
+    One aggregation over both tables instead of an anti join: copies of a row, on either
+    side, combine before the shuffle.
+    """
+    seen = _marked(existing.select(*incoming.columns), incoming).groupBy(*incoming.columns).agg(F.min("__new").alias("__new"))
+    return seen.filter(F.col("__new") == 1).drop("__new")
 
 
 def append_counts(existing: DataFrame, incoming: DataFrame, entity: str) -> DataFrame:
@@ -180,10 +186,7 @@ def append_counts(existing: DataFrame, incoming: DataFrame, entity: str) -> Data
 
     The reference point of "new" is the table before the append, as it stands.
     """
-    tagged = existing.select(*existing.columns, F.lit(0).alias("__new")).unionByName(
-        incoming.select(*incoming.columns, F.lit(1).alias("__new"))
-    )
-    rows = tagged.groupBy(*existing.columns).agg(
+    rows = _marked(existing, incoming).groupBy(*existing.columns).agg(
         F.sum(1 - F.col("__new")).alias("__old"), F.sum("__new").alias("__in")
     )
     return rows.groupBy(entity).agg(
