@@ -7,7 +7,7 @@ import pytest
 from uptide.plans.catalog import QUERIES
 
 # These fit models, run streams or write tables while the frame is built.
-EAGER = {n for n in QUERIES if n.startswith(("train_", "stream_"))} | {"model_forecast"}
+EAGER = {n for n in QUERIES if n.startswith(("train_", "stream_"))} | {"model_forecast", "linear_regression_fit"}
 
 
 def plan(df):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from uptide.functions.prefix import running_totals
 from uptide.functions.scalar import clean_name, safe_ratio
 from uptide.operators.clean import impute_nulls
+from uptide.operators.events import MEASURES
 
 # Fixed values of the target and wear formulas.
 UNMAPPED_MAINTENANCE_DATE = datetime.date(2024, 6, 1)
@@ -42,20 +43,24 @@ def maintenance_target(
     ts: str = "prod_ts",
     target: str = "target",
     unmapped_date: datetime.date = UNMAPPED_MAINTENANCE_DATE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Days to the next maintenance; rows after it (negative days) and undated rows are dropped.
 
     ``dimension`` has the entity and ``last_replacement``, ``interval_days``. Before or on
     the last replacement the target counts to it; later, to last + interval. The join carries
     no broadcast hint: Spark broadcasts the dimension only while it is under its threshold.
+    ``carry`` names dimension columns to keep, so that later steps need not join again.
     """
-    dim = dimension.select(entity, F.to_date("last_replacement").alias("__last"), F.col("interval_days").alias("__interval"))
+    dim = dimension.select(
+        entity, F.to_date("last_replacement").alias("__last"), F.col("interval_days").alias("__interval"), *carry
+    )
     d = F.to_date(ts)
     due = F.date_add(F.col("__last"), F.coalesce(F.col("__interval"), F.lit(DEFAULT_INTERVAL_DAYS)).cast("int"))
     days = F.when(d > F.col("__last"), F.datediff(due, d)).otherwise(
         F.datediff(F.coalesce(F.col("__last"), F.lit(unmapped_date)), d)
     )
-    return fact.join(dim, entity, "left").withColumn(target, days).filter(F.col(target) >= 0).select(*fact.columns, target)
+    return fact.join(dim, entity, "left").withColumn(target, days).filter(F.col(target) >= 0).select(*fact.columns, target, *carry)
 
 
 def cumulative_features(
@@ -108,7 +113,7 @@ def wear_per_thousand(wear_a: Column, wear_b: Column, quantity: Column) -> Colum
 
 def measurement_features(
     fact: DataFrame,
-    maintenance: DataFrame,
+    maintenance: DataFrame | None = None,
     *,
     entity: str = "entity",
     quantity: str = "qty_produced_acumulado",
@@ -116,18 +121,23 @@ def measurement_features(
 ) -> DataFrame:
     """Attach measurements, wear rates, wear index and wear per 1000 pieces to every record.
 
-    ``maintenance`` has the entity, ``interval_days`` and the four measures. Gaps in the
-    measurements are filled with the median over all records (0 when all are missing);
-    rates, index and per-1000 wear are computed before that filling. ``records`` are the
-    same rows before further columns were added: the medians then skip computing those.
+    ``maintenance`` has the entity, ``interval_days`` and the four measures; without it,
+    ``fact`` carries these columns already (see ``carry`` of :func:`maintenance_target`),
+    which saves a second join. Gaps in the measurements are filled with the median over all
+    records (0 when all are missing); rates, index and per-1000 wear are computed before
+    that filling. ``records`` are the same rows before further columns were added: the
+    medians then skip computing those.
     """
-    dim = component_wear(maintenance).select(entity, F.col("interval_days").alias("intervalo_manutencao"), *MEASUREMENT_FEATURES)
+
+    def measured(df: DataFrame) -> DataFrame:
+        if maintenance is not None:
+            df = df.join(maintenance.select(entity, "interval_days", *MEASURES), entity, "left")
+        return component_wear(df)
+
     a, b = F.col("desgaste_componente_a"), F.col("desgaste_componente_b")
-    joined = fact.join(dim, entity, "left").withColumn(
-        "intervalo_manutencao", F.coalesce(F.col("intervalo_manutencao"), F.lit(DEFAULT_INTERVAL_DAYS))
-    )
+    joined = measured(fact).withColumn("intervalo_manutencao", F.coalesce("interval_days", F.lit(DEFAULT_INTERVAL_DAYS)))
     interval = F.col("intervalo_manutencao")
-    wide = joined.withColumns(
+    wide = joined.drop("interval_days").withColumns(
         {
             "taxa_desgaste_componente_a": wear_rate(a, interval),
             "taxa_desgaste_componente_b": wear_rate(b, interval),
@@ -135,8 +145,8 @@ def measurement_features(
             "desgaste_por_1000_pecas": wear_per_thousand(a, b, F.col(quantity)),
         }
     )
-    weighed = (fact if records is None else records).select(entity).join(dim, entity, "left")
-    return impute_nulls(wide, numeric=MEASUREMENT_FEATURES, empty_numeric=0.0, source=weighed)
+    source = measured(fact if records is None else records).select(*MEASUREMENT_FEATURES)
+    return impute_nulls(wide, numeric=MEASUREMENT_FEATURES, empty_numeric=0.0, source=source)
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], *, max_categories: int = 50, prefixes: Mapping[str, str] | None = None) -> DataFrame:

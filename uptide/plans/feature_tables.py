@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from uptide.operators import features, stats
+from uptide.operators.events import MEASURES
 from uptide.plans import adapters as a
 from uptide.plans.registry import query, rounded
 
@@ -18,8 +19,10 @@ t AS (SELECT *, CASE WHEN d0 > last THEN date_diff('day', d0, last + CAST(coales
 tt AS (SELECT * FROM t WHERE target >= 0)"""
 
 
-def target(spark: SparkSession, sf: str) -> DataFrame:
-    return features.maintenance_target(a.supplier_production(spark, sf), a.supplier_maintenance(spark, sf))
+def target(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    return features.maintenance_target(
+        a.supplier_production(spark, sf), a.supplier_maintenance(spark, sf), carry=carry
+    )
 
 
 @query(
@@ -36,9 +39,9 @@ cum AS (SELECT *, CAST(sum(qty_produced) OVER w AS BIGINT) AS qty_cum, CAST(sum(
   WINDOW w AS (PARTITION BY entity ORDER BY prod_ts, {TIEBREAK_SQL} ROWS UNBOUNDED PRECEDING))"""
 
 
-def cumulative(spark: SparkSession, sf: str) -> DataFrame:
+def cumulative(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
     return features.cumulative_features(
-        target(spark, sf), ["qty_produced", "qty_scrapped", "mass_kg_per_100"], tiebreak=TIEBREAK
+        target(spark, sf, carry), ["qty_produced", "qty_scrapped", "mass_kg_per_100"], tiebreak=TIEBREAK
     )
 
 
@@ -75,9 +78,8 @@ wear AS (SELECT w1.* EXCLUDE (a_max, a_min, a_range, wa, b_max, b_min, b_range,
 
 
 def wear(spark: SparkSession, sf: str) -> DataFrame:
-    return features.measurement_features(
-        cumulative(spark, sf), a.supplier_maintenance(spark, sf), records=target(spark, sf)
-    )
+    measures = ("interval_days", *MEASURES)
+    return features.measurement_features(cumulative(spark, sf, measures), records=target(spark, sf, measures))
 
 
 @query(

@@ -171,6 +171,40 @@ def entity_report_text(spark: SparkSession, sf: str) -> DataFrame:
     return reports.report_lines(customer_cells, prescribed, history)
 
 
+def _int_sql(c: str) -> str:
+    return f"replace(format('{{:,}}', {c}), ',', '.')"
+
+
+def _pct_sql(c: str) -> str:
+    return f"replace(format('{{:.2f}}', {c}), '.', ',') || ' %'"
+
+
+FIXED_LINES_SQL = """(VALUES
+  (3, '000', ''), (3, '001', '## Produção mensal por composto'), (3, '002', ''),
+  (3, '003', '| Ano-Mês | Composto | Qtd. produzida | % do total | Refugo | Dias com produção |'), (3, '004', '|---|---|---:|---:|---:|---:|'),
+  (5, '000', ''), (5, '001', '## Resumo por composto (período inteiro)'), (5, '002', ''),
+  (5, '003', '| Composto | Qtd. produzida | % do total | Refugo | Meses com uso |'), (5, '004', '|---|---:|---:|---:|---:|')) f(secao, chave, linha)"""
+
+
+@query(
+    "compound_report_text",
+    f"""WITH {CELL_SQL}, h AS (SELECT equipamento, ['# Relatório mensal por componente — ' || equipamento,
+  '**Período coberto:** ' || strftime(lo, '%d/%m/%Y') || ' → ' || strftime(hi, '%d/%m/%Y'), '**Total produzido:** ' || {_int_sql("qtd")} || ' peças',
+  '**Total refugado:** ' || {_int_sql("ref")} || ' peças (' || {_pct_sql("CAST(ref AS DOUBLE) * 100 / qtd")} || ')',
+  '**Compostos distintos utilizados:** ' || comps] AS l FROM tot)
+SELECT equipamento, CAST(0 AS BIGINT) AS secao, lpad(CAST(i - 1 AS VARCHAR), 3, '0') AS chave, l[i] AS linha FROM h, range(1, 6) r(i)
+UNION ALL SELECT equipamento, CAST(secao AS BIGINT), chave, linha FROM tot, {FIXED_LINES_SQL}
+UNION ALL SELECT c.equipamento, 4, strftime(mes, '%Y-%m') || '/' || composto, '| ' || strftime(mes, '%Y-%m') || ' | ' || composto || ' | ' || {_int_sql("c.qtd")}
+  || ' | ' || {_pct_sql("CAST(c.qtd AS DOUBLE) * 100 / t.qtd")} || ' | ' || {_int_sql("c.ref")} || ' | ' || dias || ' |' FROM cell c JOIN tot t ON t.equipamento = c.equipamento
+UNION ALL SELECT c.equipamento, 6, lpad(CAST(1000000000000000000 - c.qtd AS VARCHAR), 20, '0') || '/' || composto, '| ' || composto || ' | ' || {_int_sql("c.qtd")}
+  || ' | ' || {_pct_sql("CAST(c.qtd AS DOUBLE) * 100 / t.qtd")} || ' | ' || {_int_sql("c.ref")} || ' | ' || c.meses || ' |' FROM comp c JOIN tot t ON t.equipamento = c.equipamento
+UNION ALL SELECT equipamento, 7, '0', '| **TOTAL** | **' || {_int_sql("qtd")} || '** | **100,00 %** | **' || {_int_sql("ref")} || '** | **' || meses || '** |' FROM tot""",
+)
+def compound_report_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Report lines of every supplier: header, months, compounds, total."""
+    return reports.report_lines(cells(spark, sf))
+
+
 @query(
     "report_index",
     """SELECT l_suppkey AS equipamento, '| ' || l_suppkey || ' | ' || replace(format('{:,}', count(*)), ',', '.') || ' | [' || l_suppkey || '.md](' || l_suppkey || '.md) |' AS linha

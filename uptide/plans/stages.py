@@ -25,9 +25,9 @@ def preprocess(production: DataFrame, maintenance: DataFrame, defaults: DataFram
         numeric=[*QUANTITIES, "unit_factor"],
         text=["compound", "product", "unit"],
     )
-    dated = features.maintenance_target(clean, dimension)
+    dated = features.maintenance_target(clean, dimension, carry=("interval_days", *events.MEASURES))
     totals = features.cumulative_features(dated, QUANTITIES, tiebreak=TIEBREAK)
-    return features.measurement_features(totals, dimension, records=dated)
+    return features.measurement_features(totals, records=dated)
 
 
 def encode(preprocessed: DataFrame) -> DataFrame:
