@@ -80,32 +80,36 @@ def compound_rollup(cells: DataFrame) -> DataFrame:
 
 
 def entity_kpis(cells: DataFrame) -> DataFrame:
-    """Header figures per entity, the leading compound and its share, and the quality verdict."""
-    compounds = cells.groupBy("equipamento", "composto").agg(
+    """Header figures per entity, the leading compound and its share, and the quality verdict.
+
+    Compounds and months are two grouping sets of one aggregation over the cells.
+    """
+    by_compound = F.col("g") == 1
+    named = by_compound & F.col("composto").isNotNull()
+    both = cells.groupingSets(
+        [["equipamento", "composto"], ["equipamento", "mes"]], "equipamento", "composto", "mes"
+    ).agg(
+        F.grouping("mes").alias("g"),
         F.sum("qtd").alias("qtd"),
         F.sum("ref").alias("ref"),
         F.sum("registros").alias("registros"),
         F.min("first_day").alias("first_day"),
         F.max("last_day").alias("last_day"),
     )
-    months = cells.groupBy("equipamento", "mes").agg(F.sum("qtd").alias("qtd"))
-    named = F.col("composto").isNotNull()
-    lead = F.when(named, F.struct(-F.col("qtd"), F.col("composto")))
-    head = compounds.groupBy("equipamento").agg(
-        F.sum("qtd").alias("total_produzido"),
-        F.sum("ref").alias("total_refugado"),
+    head = both.groupBy("equipamento").agg(
+        F.sum(F.when(by_compound, F.col("qtd"))).alias("total_produzido"),
+        F.sum(F.when(by_compound, F.col("ref"))).alias("total_refugado"),
         F.min("first_day").alias("inicio"),
         F.max("last_day").alias("fim"),
-        F.count("composto").alias("n_compostos"),
-        F.sum("registros").alias("registros"),
-        F.min_by("composto", lead).alias("composto_lider"),
+        F.count_if(named).alias("n_compostos"),
+        F.sum(F.when(by_compound, F.col("registros"))).alias("registros"),
+        F.min_by("composto", F.when(named, F.struct(-F.col("qtd"), F.col("composto")))).alias("composto_lider"),
         F.max(F.when(named, F.col("qtd"))).alias("qtd_lider"),
+        F.count(F.when(~by_compound, F.col("mes"))).alias("n_meses"),
     )
-    n_months = months.groupBy("equipamento").agg(F.count("mes").alias("n_meses"))
     rate = F.coalesce(F.try_divide(F.col("total_refugado").cast("double") * 100, F.col("total_produzido")), F.lit(0.0))
     return (
-        head.join(n_months, "equipamento")
-        .withColumn("taxa_refugo", rate)
+        head.withColumn("taxa_refugo", rate)
         .withColumn("pct_lider", F.try_divide(F.col("qtd_lider").cast("double") * 100, F.col("total_produzido")))
         .withColumn("nivel_qualidade", quality_label(F.col("taxa_refugo")))
     )
@@ -223,7 +227,8 @@ def report_lines(cells: DataFrame, prescribed: DataFrame | None = None, history:
     """Lines ``(equipamento, secao, chave, linha)`` of one Markdown report per entity.
 
     A document is its lines ordered by ``secao`` and ``chave``. Lines stay rows: the text
-    sink sorts them within files, so no document is ever assembled in memory.
+    sink sorts them within files, so no document is ever assembled in memory. Every section
+    reads the inputs again, so hand in stored tables.
     """
     kpis = entity_kpis(cells)
 

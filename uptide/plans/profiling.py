@@ -9,6 +9,7 @@ from uptide.plans import adapters as a
 from uptide.plans.feature_tables import TARGET_SQL, target
 from uptide.plans.maintenance import PRESCRIPTION_SQL, prescription
 from uptide.plans.registry import query, rounded
+from uptide.session import stored
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
@@ -183,7 +184,7 @@ c AS (SELECT CASE WHEN left_days IS NULL THEN 'Indefinido' WHEN left_days <= q1
 SELECT urgencia, count(*) AS n, round(count(*) / (SELECT count(*) FROM c), 6) AS proporcao FROM c GROUP BY urgencia""",
 )
 def urgency_tertiles(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(profile.urgency_thirds(prescription(spark, sf), "dias_restantes"), 6, "proporcao")
+    return rounded(profile.urgency_thirds(stored(prescription(spark, sf), "prescricao"), "dias_restantes"), 6, "proporcao")
 
 
 @query(
@@ -193,7 +194,8 @@ r AS (SELECT *, CAST(sum(n) OVER (ORDER BY dias_restantes) AS BIGINT) AS upto, s
 SELECT dias_restantes, n, upto - n AS first_index, upto - 1 AS last_index, round(upto / total, 6) AS cume_dist FROM r""",
 )
 def sorted_curve(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(profile.sorted_curve(prescription(spark, sf), "dias_restantes", bin_width=30), 6, "cume_dist")
+    table = stored(prescription(spark, sf), "prescricao")
+    return rounded(profile.sorted_curve(table, "dias_restantes", bin_width=30), 6, "cume_dist")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from uptide.operators import events, prescribe, reports
 from uptide.plans import adapters as a
 from uptide.plans.registry import query, rounded
+from uptide.session import stored
 
 
 def cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,7 +169,7 @@ def entity_report_text(spark: SparkSession, sf: str) -> DataFrame:
     history = events.event_history(maintenance, a.customer_preventive(spark, sf))
     ledger = events.daily_ledger(production, entity="entity", ts="prod_ts", quantity="qty_produced", mass="mass_kg_per_100")
     prescribed = prescribe.prescription(events.recent_history(maintenance), history, ledger, a.AS_OF)
-    return reports.report_lines(customer_cells, prescribed, history)
+    return reports.report_lines(stored(customer_cells, "cells"), stored(prescribed, "prescricao"), history)
 
 
 def _int_sql(c: str) -> str:
@@ -202,7 +203,7 @@ UNION ALL SELECT equipamento, 7, '0', '| **TOTAL** | **' || {_int_sql("qtd")} ||
 )
 def compound_report_text(spark: SparkSession, sf: str) -> DataFrame:
     """Report lines of every supplier: header, months, compounds, total."""
-    return reports.report_lines(cells(spark, sf))
+    return reports.report_lines(stored(cells(spark, sf), "cells"))
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from uptide.operators import events, features, prescribe, reports, stats
 from uptide.operators.clean import drop_exact_duplicates, impute_nulls
+from uptide.session import stored
 from uptide.sources.readers import as_dimension, as_event_source
 
 QUANTITIES = ("qty_produced", "qty_scrapped", "qty_reworked", "mass_kg_per_100")
@@ -75,4 +76,4 @@ def component_reports(production: DataFrame, crossed: CrossReference, prescribed
     cells = reports.monthly_cells(
         production, entity="entity", ts="prod_ts", compound="compound", produced="qty_produced", scrapped="qty_scrapped"
     )
-    return reports.report_lines(cells, prescribed, crossed.history)
+    return reports.report_lines(stored(cells, "cells"), stored(prescribed, "prescricao"), crossed.history)
