@@ -173,7 +173,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         )
     )
     counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    frame = bounds.select(F.col(bounds.columns[0]).alias("b"), F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+    frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"), bounds.scalar().alias("b"))
     return frame.join(counts, "bin", "left").select(
         "bin",
         (F.col("b.lo") + width * (F.col("bin") - 1)).alias("lower"),
