@@ -49,8 +49,8 @@ def customer_maintenance(spark: SparkSession, sf_dir: str, *, measured: bool = T
         .agg(
             F.max("l_quantity").alias("componente_a_max"),
             F.min("l_quantity").alias("componente_a_min"),
-            F.max(F.round(F.col("l_extendedprice") / 1000, 3)).alias("componente_b_max"),
-            F.min(F.round(F.col("l_extendedprice") / 1000, 3)).alias("componente_b_min"),
+            F.max(F.col("l_extendedprice") / 100).alias("componente_b_max"),
+            F.min(F.col("l_extendedprice") / 100).alias("componente_b_min"),
         )
     )
     names = [c for c in measures.columns if c.startswith("componente")]
@@ -125,7 +125,7 @@ c_prod AS (
   WHERE l_shipdate < TIMESTAMP '2000-07-01'),
 c_measure AS (
   SELECT l_orderkey, max(l_quantity) AS a_max, min(l_quantity) AS a_min,
-         max(round(l_extendedprice / 1000, 3)) AS b_max, min(round(l_extendedprice / 1000, 3)) AS b_min
+         max(l_extendedprice / 100) AS b_max, min(l_extendedprice / 100) AS b_min
   FROM lineitem GROUP BY l_orderkey),
 c_log AS (
   SELECT o_custkey AS equipamento, CAST(o_orderdate AS DATE) AS last, o_orderstatus AS notes,
