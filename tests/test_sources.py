@@ -69,8 +69,8 @@ def test_collect_prefers_standard_files(spark, raw):
 
 
 def test_maintenance_by_position(spark, tmp_path):
-    maintenance_csv(tmp_path / "dados_manutencao_demo.csv")
-    m = readers.read_maintenance(spark, str(tmp_path / "dados_manutencao_demo.csv"))
+    maintenance_csv(tmp_path / "dados_manutencao_2024.csv")
+    m = readers.read_maintenance(spark, str(tmp_path / "dados_manutencao_2024.csv"))
     assert rows(m, "entity", "last_replacement", "days_in_operation", "a_p1", "a_max", "b_min") == [
         ("EQ-101", D(2024, 3, 20), 19, 20.1, 20.3, 19.5), ("EQ-102", D(2024, 3, 10), None, None, 20.2, None),
     ]
@@ -167,9 +167,9 @@ def test_stage_tables(spark, tmp_path):
 
 
 def test_stages_from_files_to_reports(spark, raw, tmp_path):
-    maintenance_csv(tmp_path / "dados_manutencao_demo.csv")
+    maintenance_csv(tmp_path / "dados_manutencao_2024.csv")
     production = readers.collect_production(spark, str(raw))
-    maintenance = readers.read_maintenance(spark, str(tmp_path / "dados_manutencao_demo.csv"))
+    maintenance = readers.read_maintenance(spark, str(tmp_path / "dados_manutencao_2024.csv"))
     pre = stages.preprocess(production, maintenance, readers.default_maintenance(spark))
     assert rows(pre, "order_id", "target", "qty_produced_acumulado") == [(1, 15, 10), (11, 186, 50), (2, 14, 30), (4, 4, 30), (9, 86, 40)]
     assert "Equipamento_EQ_101" in stages.encode(pre).columns
