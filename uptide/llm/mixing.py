@@ -154,3 +154,17 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], total_share: floa
         .select("__group", "__party", "source", "source_size", "target", "__seats", "__capacity")
     )
     return apportion(filled, ["__group"], "target", "__seats", "__capacity", [F.col("__party")]).drop("__group")
+
+
+def repeat_taken(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The documents as the mix takes them, with their own columns: each row as often as its words are taken, rounded.
+
+    Word-less documents stay once: they weigh nothing. Rows are matched by id and text; copies of a row share equally.
+    """
+    key = F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    keyed = docs.withColumn("__mix", key)
+    mixed = mix(keyed, id_col="__mix", text_col=text_col, source_col=source_col, **options)
+    times = mixed.groupBy(F.col("doc_id").alias("__mix")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("__share"), F.sum("size").alias("__size"))
+    copies = F.when(F.col("__size") > 0, F.floor(F.col("__share") + 0.5)).otherwise(1).cast("int")
+    joined = keyed.join(times, "__mix").withColumn("__copies", copies)
+    return joined.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from uptide.llm import mixing, pieces, quality, secrets, sentence_spans, simhash, toxicity
+from uptide.llm import ann, mixing, pieces, quality, secrets, sentence_spans, simhash, toxicity
 from uptide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": lambda spark, sf_dir: simhash.near_duplicates(table(spark, sf_dir, "documents")),
     "op4_quality": lambda spark, sf_dir: quality.judge(table(spark, sf_dir, "documents")),
     "op7_mixing": lambda spark, sf_dir: mixing.mix(table(spark, sf_dir, "documents")),
+    "op8_ann": lambda spark, sf_dir: ann.search(table(spark, sf_dir, "embeddings")),
     "op9_secrets": lambda spark, sf_dir: secrets.secret_report(table(spark, sf_dir, "documents")),
     "op10_sentence_spans": lambda spark, sf_dir: sentence_spans.span_report(table(spark, sf_dir, "documents")),
 }
