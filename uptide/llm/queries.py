@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from uptide.llm import ann, mixing, pieces, quality, secrets, sentence_spans, simhash, suffix_dedup, toxicity
+from uptide.llm import ann, mixing, pieces, pii, quality, secrets, sentence_spans, simhash, suffix_dedup, toxicity
 from uptide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": lambda spark, sf_dir: pieces.encode_documents(table(spark, sf_dir, "documents")),
     "op3_simhash": lambda spark, sf_dir: simhash.near_duplicates(table(spark, sf_dir, "documents")),
     "op4_quality": lambda spark, sf_dir: quality.judge(table(spark, sf_dir, "documents")),
+    "op5_pii": lambda spark, sf_dir: pii.pii_report(table(spark, sf_dir, "documents")),
     "op6_suffix_dedup": lambda spark, sf_dir: suffix_dedup.substring_report(table(spark, sf_dir, "documents")),
     "op7_mixing": lambda spark, sf_dir: mixing.mix(table(spark, sf_dir, "documents")),
     "op8_ann": lambda spark, sf_dir: ann.search(table(spark, sf_dir, "embeddings")),
