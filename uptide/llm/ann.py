@@ -135,8 +135,8 @@ def candidates(vectors: DataFrame, id_col: str, vector_col: str, k: int) -> Data
     usable = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
     common = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     usable = usable.where(F.size("v") == (common[0]["n"] if common else 0)).withColumn("h", F.xxhash64("v"))
-    # The limit on ranks works in the map tasks first: a common vector leaves k + 1 rows per task.
-    ranked = usable.withColumn("r", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).where(F.col("r") <= k + 1)
+    # Repeated rows go first. The limit on ranks works before its shuffle: a common vector leaves k + 1 rows per task.
+    ranked = usable.select("h", "v", "id").distinct().withColumn("r", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).where(F.col("r") <= k + 1)
     return ranked.groupBy("h", "v").agg(F.array_sort(F.collect_set("id")).alias("ids"))
 
 

@@ -54,13 +54,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
     values = np.fromiter((fingerprint(t) for t in batch.column("text").to_pylist()), np.uint64, batch.num_rows)
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(values.view(np.int64))], names=["doc_id", "t", "fp"])
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: fp is the fingerprint as a signed long."""
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(given, _fingerprints, T.StructType([given.schema["doc_id"], T.StructField("fp", T.LongType())]))
+    """``doc_id, t, fp``: fp is the fingerprint as a signed long, t a hash of the text that tells apart rows of one id."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
+    return map_batches(given, _fingerprints, T.StructType([*given.schema.fields[:2], T.StructField("fp", T.LongType())]))
 
 
 def neighbour_tiles(radius: int) -> list[int]:
@@ -146,7 +147,7 @@ def links(distinct: DataFrame, *, radius: int = RADIUS, piece: int = PIECE) -> D
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root``: the least node reachable, for every node of an edge; ids are signed longs.
+    """``node, root``: the least node reachable, for every node of an edge but roots; ids are signed longs.
 
     Alternating large-star and small-star rounds on checkpointed edges until nothing changes; each round is a few
     shuffles of the edges, and the number of rounds grows with the logarithm of the longest chain.
@@ -169,19 +170,31 @@ def components(edges: DataFrame) -> DataFrame:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, *, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id`` per document; component_id is the smallest id reachable by links."""
+def classified(docs: DataFrame, *, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, t, fp, root, component_id`` per document; root is the component's least fingerprint."""
     fps = cut(fingerprints(docs, id_col=id_col, text_col=text_col))
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(classes.select("fp"), radius=radius))
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select("doc_id", "t", "fp", "root", "component_id")
 
 
-def keep_first(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """One document of each component stays: that of the smallest id (the smallest text of it, if an id repeats)."""
-    classes = near_duplicates(docs, id_col=id_col, **options)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates([id_col])
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` per document; component_id is the smallest id reachable by links."""
+    return classified(docs, **options).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One document of each component stays: that of the smallest id, and of the least text hash if an id repeats."""
+    rows = classified(docs, id_col=id_col, text_col=text_col, **options)
+    counted = rows.groupBy("root", "doc_id", "t").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "t", "n"))
+    kept = cut(counted.groupBy("root").agg(best.alias("w")).select(F.col("w.doc_id").alias("__id"), F.col("w.t").alias("__t"), F.col("w.n").alias("__n")))
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash == F.col("__t"))
+    single = docs.join(kept.where("__n = 1"), same, "left_semi")
+    # Rows that repeat an id and its text are one document.
+    repeated = docs.join(kept.where("__n > 1"), same, "left_semi").dropDuplicates([id_col, text_col])
+    return single.unionByName(repeated)
