@@ -26,6 +26,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -37,7 +38,7 @@ MAX_PIECES = 1_000_000
 GIANT_CHARS = 1 << 15
 CHUNK_CHARS = 1 << 13
 #: Segments kept per worker, and the longest that is kept.
-KEPT_SEGMENTS = 300_000
+KEPT_SEGMENTS = 400_000
 KEPT_CHARS = 64
 MISSING = float("-inf")
 
@@ -64,6 +65,7 @@ class Vocabulary:
         self.rank = {p: -s for p, s in self.scores.items() if len(p) > 1}
         self.fits: dict[tuple[str, str], bool] = {}
         self.solved: dict[str, tuple[int, ...]] = {}
+        self.automaton: ahocorasick.Automaton | None = None
         if self.bpe:
             self.halves = {}
             for p in sorted(self.rank, key=self.rank.get):
@@ -74,6 +76,18 @@ class Vocabulary:
                     del self.rank[p]
             self.ids = {p: i for p, i in self.ids.items() if len(p) == 1 or p in self.rank}
 
+    def matches(self) -> ahocorasick.Automaton:
+        """Finds all pieces in a text; built in each worker."""
+        if self.automaton is None:
+            self.automaton = ahocorasick.Automaton()
+            for p in self.ids:
+                self.automaton.add_word(p, (len(p), p))
+            self.automaton.make_automaton()
+        return self.automaton
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"automaton": None, "fits": {}, "solved": {}}
+
     def merged(self, text: str) -> list[str]:
         """Characters merged by rank, the leftmost of equal ranks first."""
         parts = list(text)
@@ -174,17 +188,19 @@ def ending(v: Vocabulary, s: str, p: int) -> Iterator[str]:
 
 def solve(v: Vocabulary, s: str) -> list[str]:
     """Best path of a whole segment, from its start to its end."""
-    last: list[str | None] = [None] * (len(s) + 1)
-    if v.bpe:  # at most one piece fits at each position
-        ids, known, fit, longest = v.ids, v.fits, v.fit, v.longest
-        for p in range(1, len(s) + 1):
-            for q in range(p - longest if p > longest else 0, p):
-                t = s[q:p]
-                if t in ids or q == p - 1:
-                    u = last[q]
-                    if not q or u is not None and (known[u, t] if (u, t) in known else fit(u, t)):
-                        last[p] = t
-                        break
+    last: list[str | None] = [None] * (len(s) + 1)  # None: only the single character, which is outside the vocabulary
+    if v.bpe:  # just one piece fits at each position
+        fits, fitted = v.fits, 0
+        for end, (n, t) in v.matches().iter(s):
+            p = end + 1
+            if p == fitted:
+                continue
+            if p > n:
+                before = (last[p - n] or s[p - n - 1], t)
+                fit = fits.get(before)
+                if not (v.fit(*before) if fit is None else fit):
+                    continue
+            last[p], fitted = t, p
     else:
         value = [0.0] + [MISSING] * len(s)
         for p in range(1, len(s) + 1):
@@ -193,8 +209,8 @@ def solve(v: Vocabulary, s: str) -> list[str]:
                     value[p], last[p] = x, t
     path, p = [], len(s)
     while p:
-        path.append(last[p])
-        p -= len(last[p])
+        path.append(last[p] or s[p - 1])
+        p -= len(path[-1])
     return path[::-1]
 
 
