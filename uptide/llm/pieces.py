@@ -241,7 +241,7 @@ def boundary(v: Vocabulary, s: str, at: int) -> list[tuple[int, int]]:
     return [(p, len(t)) for p in range(max(0, at - v.longest) + 1, at + 1) for t in ending(v, s, p)] or [(0, 0)]
 
 
-def _step(v: Vocabulary, s: str, p: int, value: dict, zero):
+def _step(v: Vocabulary, s: str, p: int, value: dict[int, dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     """Values of the nodes that end at p, from those at earlier positions."""
     found = {}
     for t in ending(v, s, p):
@@ -254,44 +254,72 @@ def _step(v: Vocabulary, s: str, p: int, value: dict, zero):
     return found
 
 
+def _cut(v: Vocabulary, s: str, positions: range) -> int | None:
+    """The first of the positions that no piece crosses: nothing beyond it depends on what is before."""
+    return next((p for p in positions if s[p - 1 : p + 1] not in v.inside), None)
+
+
+def _node_values(v: Vocabulary, s: str, value: dict[int, dict[str, np.ndarray]], a: int, b: int) -> None:
+    """Extends the values of the nodes that end up to a by those that end up to b."""
+    for p in range(a + 1, b + 1):
+        value[p] = _step(v, s, p, value)
+        if p - 2 * v.longest > a:  # out of reach
+            value.pop(p - 2 * v.longest, None)
+
+
 def transfer(v: Vocabulary, s: str, a: int, b: int) -> tuple[np.ndarray | None, np.ndarray | None, np.ndarray | None]:
-    """Max-plus matrix from the nodes at a to those at b (positions in s): dense, or two vectors whose outer sum it is."""
+    """Max-plus matrix from the nodes at a to those at b (positions in s): dense, or two vectors whose outer sum it is,
+    up to a constant, if a cut lies between. Then only the stretches before the first and after the last cut are read."""
     entries, exits = boundary(v, s, a), boundary(v, s, b)
     unit = np.full((len(entries), len(entries)), MISSING)
     np.fill_diagonal(unit, 0.0)
     value: dict[int, dict[str, np.ndarray]] = {}
     for row, (p, n) in zip(unit, entries, strict=True):
         value.setdefault(p, {})[s[p - n : p]] = row
-    left = None
-    for p in range(a + 1, b + 1):
-        value[p] = _step(v, s, p, value, MISSING)
-        if left is None and p <= b - v.longest and s[p - 1 : p + 1] not in v.inside:
-            left = np.max(list(value[p].values()), axis=0)
-            value[p] = {"": np.zeros(1)}  # beyond a cut nothing depends on what was before
-        value.pop(p - v.longest, None) if p - v.longest < b - v.longest else None
-    none = np.full(len(entries) if left is None else 1, MISSING)
-    columns = np.array([value.get(p, {}).get(s[p - n : p], none) for p, n in exits]).T
+    first = _cut(v, s, range(a + 1, b - v.longest + 1))
+    left, width = None, len(entries)
+    if first is None:
+        _node_values(v, s, value, a, b)
+    else:
+        _node_values(v, s, value, a, first)
+        left = np.max(list(value[first].values()), axis=0)
+        last = _cut(v, s, range(b - v.longest, first - 1, -1))
+        value, width = {last: {"": np.zeros(1)}}, 1
+        _node_values(v, s, value, last, b)
+    columns = np.array([value.get(p, {}).get(s[p - n : p], np.full(width, MISSING)) for p, n in exits]).T
     return (columns, None, None) if left is None else (None, left, columns[0])
 
 
-def backtrace(v: Vocabulary, s: str, entry: tuple[int, int], exit_: tuple[int, int]) -> list[str]:
-    """Best pieces after the entry node up to the exit node."""
-    start, n = entry
-    value: dict[int, dict[str, tuple[float, str]]] = {start: {s[start - n : start]: (0.0, "")}}
-    for p in range(start + 1, exit_[0] + 1):
+def _between(v: Vocabulary, s: str, start: int, before: str, end: int, piece: str | None) -> list[str]:
+    """Best pieces from a node (an end and its piece; empty: a cut) to another (None: any that ends there)."""
+    value: dict[int, dict[str, tuple[float, str]]] = {start: {before: (0.0, "")}}
+    for p in range(start + 1, end + 1):
         found = {}
         for t in ending(v, s, p):
             for u, (x, _) in value.get(p - len(t), {}).items():
                 if (not u or v.fit(u, t)) and (t not in found or x + v.weight(t) > found[t][0]):
                     found[t] = (x + v.weight(t), u)
         value[p] = found
-    path, p, t = [], exit_[0], s[exit_[0] - exit_[1] : exit_[0]]
+    path, p = [], end
+    t = max(value[end], key=lambda t: (value[end][t][0], len(t))) if piece is None and end > start else piece
     while p > start:
         path.append(t)
         p, t = p - len(t), value[p][t][1]
     return path[::-1]
 
 
+def backtrace(v: Vocabulary, s: str, entry: tuple[int, int], exit_: tuple[int, int]) -> list[str]:
+    """Best pieces after the entry node up to the exit node; what lies between cuts is solved by segments."""
+    (start, n), (end, m) = entry, exit_
+    before, piece = s[start - n : start], s[end - m : end]
+    first = _cut(v, s, range(start + 1, end - m + 1))
+    if first is None:
+        return _between(v, s, start, before, end, piece)
+    last = _cut(v, s, range(end - m, first - 1, -1))
+    inner = [t for x in v.segment.findall(s[first:last]) for t in solve(v, x)]
+    return _between(v, s, start, before, first, None) + inner + _between(v, s, last, "", end, piece)
+
+
 def combine(matrices: list[tuple], nodes: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
     """The best path's node at each boundary. nodes[i] stand before matrix i; the last list is that at the text's end."""
     vectors = [np.zeros(1)]
