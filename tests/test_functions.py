@@ -127,3 +127,30 @@ def test_running_totals_over_blocks(spark):
         sums[k] = sums.get(k, 0) + (v or 0)
         expected.append((k, t, i, v, None if v is None else sums[k]))
     assert rows(found) == sorted(expected, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def test_quantiles_of_sparse_columns(spark):
+    """A few values among many NULLs, and brackets no wider than a rank."""
+    rng = random.Random(8)
+    sparse = {c: rng.sample(range(50_000), n) for c, n in (("one", 1), ("two", 2), ("few", 102), ("some", 199))}
+    df = spark.range(50_000).select("id", *[F.when(F.col("id").isin(v), F.col("id") * 1.5).alias(c) for c, v in sparse.items()])
+    found = {(r[0], r[1]): r[2] for r in exact_quantiles(df, list(sparse), [0.25, 0.5, 0.9]).collect()}
+    for c, v in sparse.items():
+        for p in (0.25, 0.5, 0.9):
+            assert found[c, p] == pytest.approx(float(np.quantile([1.5 * x for x in v], p)), abs=1e-9)
+
+
+def test_weighted_quantiles(spark):
+    rng = random.Random(3)
+    data = [(rng.choice([None, 1.0, 2.5, 7.0, 100.0]), rng.randrange(5)) for _ in range(60)]
+    found = exact_quantiles(spark.createDataFrame(data, "x double, n long"), ["x"], [0.1, 0.5, 0.75], weight="n")
+    values = [x for x, n in data for _ in range(n) if x is not None]
+    for r in found.collect():
+        assert r[2] == pytest.approx(float(np.quantile(values, r[1])))
+
+
+def test_running_totals_of_null_keys_and_blocks(spark):
+    data = [(None, 1, 5), (None, 2, 7), ("a", None, 1), ("a", 1, 2), ("a", 2, 4)]
+    df = spark.createDataFrame(data, "k string, t int, v long")
+    found = running_totals(df, keys=["k"], order=["t"], block=F.col("t"), totals={"total": "v"})
+    assert {(r["k"], r["t"]): r["total"] for r in found.collect()} == {(None, 1): None, (None, 2): None, ("a", None): 1, ("a", 1): 3, ("a", 2): 7}

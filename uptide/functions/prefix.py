@@ -24,18 +24,26 @@ def running_totals(
     window over the key alone; the rows are shuffled once, on key and block.
 
     ``totals`` maps output name -> summed column. A NULL input gives a NULL total and adds
-    nothing to the following rows. ``order`` should be total, or tied rows may swap sums.
+    nothing to the following rows; a row with a NULL key gets NULL totals. A NULL block comes
+    first, as NULLs do in ``order``. ``order`` should be total, or tied rows may swap sums.
     """
     part = [*keys, "__block"]
     rows = df.withColumn("__block", block)
     sums = rows.groupBy(*part).agg(*[F.sum(c).alias(f"__sum_{o}") for o, c in totals.items()])
     before = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*part, *[F.sum(f"__sum_{o}").over(before).alias(f"__before_{o}") for o in totals])
+    offsets = sums.select(
+        *[F.col(c).alias(f"__of_{c}") for c in part], *[F.sum(f"__sum_{o}").over(before).alias(f"__before_{o}") for o in totals]
+    )
+    same = F.col("__block").eqNullSafe(F.col("__of___block"))
+    known = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"__of_{k}"))
+        known = known & F.col(k).isNotNull()
     inside = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = rows.join(offsets, part, "left")
+    joined = rows.join(offsets, same, "left")
     result = [
         F.when(
-            F.col(c).isNotNull(),
+            F.col(c).isNotNull() & known,
             F.sum(c).over(inside) + F.coalesce(F.col(f"__before_{o}"), F.lit(0)),
         ).alias(o)
         for o, c in totals.items()

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from uptide.functions.prefix import running_totals
 
 RANK_ACCURACY = 10_000
+#: Parts that the values to be ordered are cut into, per column.
+ORDER_BLOCKS = 256
 
 
 def exact_quantiles(
@@ -15,93 +19,108 @@ def exact_quantiles(
     probabilities: Sequence[float],
     *,
     accuracy: int = RANK_ACCURACY,
+    weight: str | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles as rows ``(column, probability, value)``.
 
     ``percentile`` keeps every distinct value of a column in one buffer. Here a first pass
     brackets every wanted rank with ``percentile_approx`` (rank error at most n/accuracy on
-    either side); a second pass counts values, keeping a value only inside a bracket and
-    just a count between brackets. At most about ``4 n / accuracy`` distinct values per
-    rank reach the final ordering, and the answer is exact because every row is counted.
-    Up to ``4 accuracy`` rows every value is kept: there a bracket is no wider than a rank.
+    either side); a second pass counts values, keeping a value only inside a bracket and a
+    count, least and greatest value between brackets, so that a rank's neighbour just outside
+    a bracket is known as well. The values that are left, at most about ``4 n / accuracy`` per
+    rank, are ordered in ``ORDER_BLOCKS`` blocks. The answer is exact as every row is counted;
+    NULLs and the other columns' values play no part.
+
+    ``weight`` names a column of whole numbers: a row then stands for so many. It is meant for
+    rows that are grouped already, and counts all their distinct values without brackets.
     """
     probabilities = sorted(probabilities)
+    names = F.array(*[F.lit(c) for c in columns])
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    if weight:
+        counted = (
+            df.select(F.inline(cells), F.col(weight).alias("n"))
+            .filter(F.col("v").isNotNull() & (F.col("n") > 0))
+            .groupBy("c", F.lit(0).alias("segment"), F.col("v").alias("value"))
+            .agg(F.sum("n").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+        )
+    else:
+        counted = _counted(df, columns, probabilities, cells, accuracy)
+    upto = _cumulated(counted, len(columns))
+    totals = counted.groupBy("c").agg(F.sum("n").alias("total"))
+    # One row per column: the totals, and from the ranks that follow the rows that hold them.
+    ranks = [F.struct(F.lit(float(p)).alias("probability"), (F.col("total") - 1) * F.lit(p)) for p in probabilities]
+    wanted = totals.select("c", F.inline(F.array(*ranks)).alias("probability", "rank"))
+    wanted = wanted.select("c", "probability", "rank", F.inline(F.array(*[F.struct(f("rank").alias("at")) for f in (F.floor, F.ceil)])))
+    # One row of a few dozen ranks per column, of which each counted row keeps those that fall into it.
+    listed = wanted.groupBy("c").agg(F.collect_set("at").alias("ats")).agg(F.map_from_entries(F.collect_list(F.struct("c", "ats"))))
+    within = F.filter(F.col("ats")[F.col("c")], lambda a: (a < F.col("upto")) & (a >= F.col("upto") - F.col("n")))
+    hits = (
+        upto.select("*", listed.scalar().alias("ats"))
+        .select("c", "value", "least", "most", "n", "upto", F.explode(within).alias("at"))
+        .select(
+            "c",
+            "at",
+            F.when(F.col("value").isNotNull(), F.col("value"))
+            .when(F.col("at") == F.col("upto") - 1, F.col("most"))
+            .when(F.col("at") == F.col("upto") - F.col("n"), F.col("least"))
+            .otherwise(F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double"))
+            .alias("value"),
+        )
+    )
+    found = wanted.join(hits, ["c", "at"]).groupBy("c", "probability", "rank").agg(F.min_by("value", "at").alias("lo"), F.max_by("value", "at").alias("hi"))
+    lo, hi, part = F.col("lo"), F.col("hi"), F.col("rank") - F.floor("rank")
+    value = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * part)
+    return found.select(F.element_at(names, F.col("c") + 1).alias("column"), "probability", value.alias("value"))
+
+
+def _counted(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], cells: Column, accuracy: int) -> DataFrame:
+    """``c, segment, value, n, least, most``: values inside the brackets, and one row per segment between them."""
     margin = 2.0 / accuracy
     edges = sorted({min(1.0, max(0.0, p + s)) for p in probabilities for s in (-margin, margin)})
     # the edges are one row of a few dozen numbers, whatever the size of the input
-    brackets = df.agg(
-        F.struct(
-            F.array(*[F.percentile_approx(F.col(c).cast("double"), edges, accuracy) for c in columns]).alias("edges"),
-            F.count(F.lit(1)).alias("n"),
-        )
-    )
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    brackets = df.agg(F.array(*[F.percentile_approx(F.col(c).cast("double"), edges, accuracy) for c in columns]))
     located = (
         df.select(F.inline(cells))
         .filter(F.col("v").isNotNull())
         .select("c", "v", brackets.scalar().alias("b"))
-        .select("c", "v", (F.col("b.n") <= 4 * accuracy).alias("inside"), F.col("b.edges")[F.col("c")].alias("edge"))
+        .select("c", "v", F.col("b")[F.col("c")].alias("edge"))
     )
-    inside, segment = F.col("inside"), F.lit(0)
+    inside, segment = F.lit(False), F.lit(0)
     for p in probabilities:
         lo = F.col("edge")[edges.index(max(0.0, p - margin))]
         hi = F.col("edge")[edges.index(min(1.0, p + margin))]
         above_lo, above_hi = F.col("v") >= lo, F.col("v") > hi
         inside = inside | (above_lo & ~above_hi)
         segment = segment + above_lo.cast("int") + above_hi.cast("int")
-    counted = (
-        located.groupBy("c", segment.alias("segment"), F.when(inside, F.col("v")).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    return located.groupBy("c", segment.alias("segment"), F.when(inside, F.col("v")).alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")
     )
-    ranked = Window.partitionBy("c").orderBy("segment", "value")
-    totals = Window.partitionBy("c")
-    cumulated = counted.select(
-        "c",
-        "value",
-        F.sum("n").over(ranked.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.sum("n").over(totals).alias("total"),
-    )
-    picks = []
-    for k, p in enumerate(probabilities):
-        rank = (F.col("total") - 1) * F.lit(p)
-        below = F.floor(rank)
-        above = F.ceil(rank)
-        picks += [
-            F.min_by(F.struct("value"), F.when(F.col("upto") > below, F.col("upto"))).alias(f"lo{k}"),
-            F.min_by(F.struct("value"), F.when(F.col("upto") > above, F.col("upto"))).alias(f"hi{k}"),
-            F.max(rank - below).alias(f"w{k}"),
-        ]
-    found = cumulated.groupBy("c").agg(*picks)
-
-    def interpolated(k: int):
-        lo, hi = F.col(f"lo{k}")["value"], F.col(f"hi{k}")["value"]
-        value = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * F.col(f"w{k}"))
-        return F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit("quantile rank fell outside its bracket"))).otherwise(value)
 
-    names = F.array(*[F.lit(c) for c in columns])
-    cells = F.array(
-        *[
-            F.struct(F.lit(float(p)).alias("probability"), interpolated(k).alias("value"))
-            for k, p in enumerate(probabilities)
-        ]
-    )
-    return found.select(F.element_at(names, F.col("c") + 1).alias("column"), F.inline(cells))
+
+def _cumulated(counted: DataFrame, columns: int) -> DataFrame:
+    """``counted`` with ``upto``, the rows up to and with this one; ordered in blocks cut at sketched quantiles."""
+    points = [i / ORDER_BLOCKS for i in range(1, ORDER_BLOCKS)]
+    cuts = counted.agg(F.array(*[F.percentile_approx(F.when(F.col("c") == i, F.col("least")), points, 10 * ORDER_BLOCKS) for i in range(columns)]))
+    placed = counted.select("*", cuts.scalar().alias("__cuts"))
+    block = F.size(F.filter(F.coalesce(F.col("__cuts")[F.col("c")], F.array().cast("array<double>")), lambda x: x <= F.col("least")))
+    return running_totals(placed, keys=["c"], order=["segment", "least"], block=block, totals={"upto": "n"}).drop("__cuts")
 
 
 def with_quantiles(
-    df: DataFrame, source: DataFrame, columns: Sequence[str], probabilities: Sequence[float], name: str = "__q"
+    df: DataFrame, source: DataFrame, columns: Sequence[str], probabilities: Sequence[float], name: str = "__q", weight: str | None = None
 ) -> DataFrame:
     """``df`` plus a struct column with quantiles of ``source``: field ``q<column index>_<probability index>``.
 
     The quantiles are one scalar subquery, referenced once; use the struct column afterwards.
     """
-    return df.select("*", quantile_row(source, columns, probabilities).scalar().alias(name))
+    return df.select("*", quantile_row(source, columns, probabilities, weight).scalar().alias(name))
 
 
-def quantile_row(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+def quantile_row(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], weight: str | None = None) -> DataFrame:
     """The same quantiles as one row with a struct ``q`` whose fields are ``<column index>_<probability index>``."""
     probabilities = sorted(probabilities)
-    long = exact_quantiles(df, columns, probabilities)
+    long = exact_quantiles(df, columns, probabilities, weight=weight)
     fields = [
         F.max(F.when((F.col("column") == c) & (F.col("probability") == float(p)), F.col("value"))).alias(f"q{i}_{k}")
         for i, c in enumerate(columns)

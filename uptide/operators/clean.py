@@ -71,16 +71,19 @@ def impute_nulls(
     text: Sequence[str] = (),
     empty_numeric: float | None = None,
     source: DataFrame | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Fill NULLs: exact median for ``numeric``, mode for ``text``, taken from ``source`` (default: ``df``).
 
+    ``weight`` names a column of ``source``: how many rows each of its rows stands for, in the medians.
+
     A numeric column without values gets ``empty_numeric`` (NULL keeps it NULL), a text
     column without values gets ``Desconhecido``. Only the listed columns are touched.
     """
     fills: dict[str, Column] = {}
     filled = df
     if numeric:
-        filled = with_quantiles(filled, source or df, numeric, [0.5], "__median")
+        filled = with_quantiles(filled, source or df, numeric, [0.5], "__median", weight)
         for i, c in enumerate(numeric):
             fills[c] = F.coalesce(
                 F.col(c).cast("double"), F.col(f"__median.q{i}_0"), F.lit(empty_numeric).cast("double")
@@ -140,14 +143,15 @@ def standardize(
     """Project a non-standard schema onto standard names.
 
     ``mapping`` lists, per standard column, the source columns to try in order: the first
-    one present is taken, none present gives the default (NULL when there is none).
+    one present is taken, none present gives the default (NULL when there is none). Text that is
+    no value of the standard type becomes NULL.
     """
     defaults = defaults or {}
     columns = []
     for name, candidates in mapping.items():
         present = first_present(df, candidates)
         source = F.col(f"`{present}`") if present else F.lit(defaults.get(name))
-        columns.append(source.cast(types[name]).alias(name))
+        columns.append(source.try_cast(types[name]).alias(name))
     return df.select(*columns)
 
 
@@ -165,6 +169,14 @@ def append_new_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.unionByName(incoming).dropDuplicates()
 
 
+def presence(entities: DataFrame, records: DataFrame, entity: str, flag: str) -> DataFrame:
+    """Entities with a 0/1 ``flag``: whether any record names them. Records are reduced to distinct entities first."""
+    seen = records.select(F.col(entity).alias("__seen")).distinct()
+    return entities.join(seen, F.col(entity) == F.col("__seen"), "left").select(
+        *entities.columns, F.col("__seen").isNotNull().cast("int").alias(flag)
+    )
+
+
 def _marked(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.select(*existing.columns, F.lit(0).alias("__new")).unionByName(
         incoming.select(*incoming.columns, F.lit(1).alias("__new"))

@@ -145,22 +145,19 @@ def measurement_features(
             "desgaste_por_1000_pecas": wear_per_thousand(a, b, F.col(quantity)),
         }
     )
-    source = measured(fact if records is None else records).select(*MEASUREMENT_FEATURES)
-    return impute_nulls(wide, numeric=MEASUREMENT_FEATURES, empty_numeric=0.0, source=source)
+    # The measurements are equal for all records of an entity: medians over records are weighted medians over these groups.
+    groups = measured(fact if records is None else records).groupBy(*MEASUREMENT_FEATURES).agg(F.count(F.lit(1)).alias("__n"))
+    return impute_nulls(wide, numeric=MEASUREMENT_FEATURES, empty_numeric=0.0, source=groups, weight="__n")
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], *, max_categories: int = 50, prefixes: Mapping[str, str] | None = None) -> DataFrame:
     """Replace a text column of at most ``max_categories`` values by 0/1 columns, one per value.
 
-    Columns with more values stay as they are. Sketched counts rule out the columns far
-    above the limit in one pass; of the others the driver sees at most
-    ``max_categories + 1`` values. A NULL gives 0 everywhere.
+    Columns with more values stay as they are. Values are listed while the frame is built: a job per column, of
+    which the driver sees at most ``max_categories + 1`` values. A NULL gives 0 everywhere.
     """
     prefixes = prefixes or {}
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     for column in columns:
-        if sizes[column] > 2 * max_categories:
-            continue
         values = [
             r[0]
             for r in df.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_categories + 1).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -62,28 +63,25 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+#: Pairs whose co-moments one pass over the rows collects.
+PAIRS_A_PASS = 60
+
+
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson correlation per pair, over rows where both are present; NULL for a constant side.
 
-    Rows are unpivoted to pairs and combined in the map tasks, so the plan has the same few
-    aggregates for any number of columns. ``corr`` would raise on a constant under ANSI.
+    The co-moments of all pairs are aggregates over the untouched rows: a few numbers per task, whatever the rows.
+    ``corr`` would raise on a constant under ANSI.
     """
 
-    def both(column: str, other: str) -> Column:
-        return F.when(F.col(other).isNotNull(), F.col(column).cast("double"))
-
-    cells = [
-        F.struct(F.lit(i).alias("pair"), both(x, y).alias("x"), both(y, x).alias("y")) for i, (x, y) in enumerate(pairs)
-    ]
-    corr = F.try_divide(F.regr_sxy("x", "y"), F.sqrt(F.regr_sxx("x", "y") * F.regr_syy("x", "y")))
-    rows = (
-        df.select(F.inline(F.array(*cells)))
-        .groupBy("pair")
-        .agg(corr.alias("corr"))
-    )
-    names = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs])
-    pair = names[F.col("pair")]
-    return rows.select(pair["x"].alias("feature_x"), pair["y"].alias("feature_y"), "corr")
+    def one(x: str, y: str) -> Column:
+        a, b = F.col(x).cast("double"), F.col(y).cast("double")
+        corr = F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
+        return F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), corr.alias("corr"))
+
+    parts = [pairs[i : i + PAIRS_A_PASS] for i in range(0, len(pairs), PAIRS_A_PASS)]
+    passes = [df.agg(F.array(*[one(x, y) for x, y in part]).alias("p")).select(F.inline("p")) for part in parts]
+    return reduce(DataFrame.unionByName, passes)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -101,15 +99,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return upper.select(F.inline(mirrored))
 
 
-def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None, top: int = 10) -> DataFrame:
-    """Features by absolute correlation with the target, strongest first, and whether it exceeds 0.5."""
+def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
+    """Features by absolute correlation with the target, strongest first, and whether it exceeds 0.5; all, or the ``top``."""
     columns = [c for c in (columns or numeric_columns(df)) if c != target]
     rows = _pairs(df, [(c, target) for c in columns]).filter(F.col("corr").isNotNull())
-    return (
-        rows.select(F.col("feature_x").alias("feature"), "corr", (F.abs("corr") > 0.5).cast("int").alias("forte"))
-        .orderBy(F.abs("corr").desc(), "feature")
-        .limit(top)
+    ranked = rows.select(F.col("feature_x").alias("feature"), "corr", (F.abs("corr") > 0.5).cast("int").alias("forte")).orderBy(
+        F.abs("corr").desc(), "feature"
     )
+    return ranked if top is None else ranked.limit(top)
 
 
 def strong_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None, above: float = 0.5) -> DataFrame:
@@ -119,9 +116,9 @@ def strong_correlations(df: DataFrame, target: str, columns: Sequence[str] | Non
     )
 
 
-def feature_pairs(df: DataFrame, columns: Sequence[str], features: int = 6, pairs: int = 6) -> DataFrame:
-    """Correlations of the first ``pairs`` pairs among the first ``features`` columns, in order."""
-    return _pairs(df, list(combinations(columns[:features], 2))[:pairs])
+def feature_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Correlations of all pairs of the columns, each once."""
+    return _pairs(df, list(combinations(columns, 2)))
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, share: float = 0.05) -> DataFrame:
@@ -260,18 +257,20 @@ def urgency_thirds(df: DataFrame, value: str) -> DataFrame:
     return counts.withColumn("proporcao", F.col("n") / F.sum("n").over(everything))
 
 
-def sorted_curve(df: DataFrame, value: str, bin_width: float) -> DataFrame:
+def sorted_curve(df: DataFrame, value: str, blocks: int = 256) -> DataFrame:
     """Sorted-value curve with one row per distinct value: its first and last position and cumulative share.
 
-    Copies are counted before anything is ordered, so a frequent value costs one row. The
-    ordering runs in blocks of ``bin_width``, not in one task.
+    Copies are counted before anything is ordered, so a frequent value costs one row. The ordering runs in ``blocks``
+    blocks of about as many distinct values each, cut at sketched quantiles; only block sums meet in one task.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n")).withColumn("__all", F.lit(1))
+    cuts = counts.agg(F.percentile_approx(F.col(value).cast("double"), [i / blocks for i in range(1, blocks)], 10 * blocks))
+    placed = counts.select("*", cuts.scalar().alias("__cuts"))
     ranked = running_totals(
-        counts,
+        placed,
         keys=["__all"],
         order=[value],
-        block=F.floor(F.col(value) / F.lit(bin_width)),
+        block=F.size(F.filter("__cuts", lambda c: c <= F.col(value).cast("double"))),
         totals={"upto": "n"},
     )
     total = counts.agg(F.sum("n"))

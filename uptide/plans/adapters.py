@@ -8,25 +8,22 @@ statistics and reports. Every function has its SQL twin as a CTE below it.
 from __future__ import annotations
 
 import datetime
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 AS_OF = datetime.date(2000, 7, 1)
 
 
-@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a lazy frame; the handle is kept, so its footers are read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- customers
 
 def customer_production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shipped lines before AS_OF as records of the customer they went to."""
+    """All lines as records of the customer they went to."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("entity"))
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate") < F.lit(AS_OF))
+    lines = table(spark, sf_dir, "lineitem")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "entity",
         F.col("l_shipdate").alias("prod_ts"),
@@ -36,15 +33,15 @@ def customer_production(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_maintenance(spark: SparkSession, sf_dir: str, *, measured: bool = True) -> DataFrame:
-    """Urgent orders before AS_OF as replacements, measured by the lines of the order.
+    """Urgent orders as replacements, measured by the lines of the order.
 
     ``measured=False`` leaves the measures NULL and saves reading the lines.
     """
-    orders = table(spark, sf_dir, "orders").filter(
-        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") < F.lit(AS_OF))
-    )
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    # Only the lines of urgent orders are shuffled to be aggregated.
     measures = (
         table(spark, sf_dir, "lineitem")
+        .join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.max("l_quantity").alias("componente_a_max"),
@@ -104,10 +101,10 @@ def customer_maintenance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_preventive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """High-priority orders before AS_OF as preventive events."""
+    """High-priority orders as preventive events."""
     return (
         table(spark, sf_dir, "orders")
-        .filter((F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderdate") < F.lit(AS_OF)))
+        .filter(F.col("o_orderpriority") == "2-HIGH")
         .select(
             F.col("o_custkey").alias("equipamento"),
             F.to_date("o_orderdate").alias("data_evento"),
@@ -121,8 +118,7 @@ CUSTOMER_SQL = """
 c_prod AS (
   SELECT o_custkey AS equipamento, l_shipdate AS ts, CAST(l_shipdate AS DATE) AS day,
          CAST(l_quantity AS BIGINT) AS qty, CAST(l_extendedprice / 1000 AS DECIMAL(12,5)) AS mass
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_shipdate < TIMESTAMP '2000-07-01'),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 c_measure AS (
   SELECT l_orderkey, max(l_quantity) AS a_max, min(l_quantity) AS a_min,
          max(l_extendedprice / 100) AS b_max, min(l_extendedprice / 100) AS b_min
@@ -131,10 +127,10 @@ c_log AS (
   SELECT o_custkey AS equipamento, CAST(o_orderdate AS DATE) AS last, o_orderstatus AS notes,
          a_max, a_min, b_max, b_min
   FROM orders LEFT JOIN c_measure ON l_orderkey = o_orderkey
-  WHERE o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '2000-07-01'),
+  WHERE o_orderpriority = '1-URGENT'),
 c_prev AS (
   SELECT o_custkey AS equipamento, CAST(o_orderdate AS DATE) AS d, o_orderstatus AS notes
-  FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderdate < TIMESTAMP '2000-07-01'),
+  FROM orders WHERE o_orderpriority = '2-HIGH'),
 c_recent AS (
   SELECT equipamento, last, notes, a_max, a_min, b_max, b_min FROM (
     SELECT *, row_number() OVER (PARTITION BY equipamento ORDER BY last DESC, notes DESC NULLS LAST,
@@ -174,10 +170,11 @@ def supplier_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def supplier_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_maintenance(spark: SparkSession, sf_dir: str, *, unmapped: bool = False) -> DataFrame:
     """Maintenance sheet per supplier: last urgent order before 2000 and before 1999, sizes around 20.
 
-    Suppliers with a balance above 9000 are unmapped, those in debt lack measurements.
+    Suppliers in debt lack measurements. Those with a balance above 9000 have no sheet, which leaves their records
+    unmapped; ``unmapped`` gives every supplier a sheet.
     """
     orders = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
     lines = table(spark, sf_dir, "lineitem")
@@ -198,9 +195,9 @@ def supplier_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(20 - F.sum(F.col("l_quantity").cast("bigint")) / F.count("l_quantity") / 50, 4).alias("b_min"),
     )
     measured = F.col("s_acctbal") >= 0
+    suppliers = table(spark, sf_dir, "supplier")
     return (
-        table(spark, sf_dir, "supplier")
-        .filter(F.col("s_acctbal") <= 9000)
+        (suppliers if unmapped else suppliers.filter(F.col("s_acctbal") <= 9000))
         .withColumnRenamed("s_suppkey", "l_suppkey")
         .join(dates, "l_suppkey", "left")
         .join(sizes, "l_suppkey", "left")
@@ -239,9 +236,9 @@ s_sizes AS (
          round(20 - min(l_extendedprice) / 100000, 4) AS b_max,
          round(20 - CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / count(l_quantity) / 50, 4) AS b_min
   FROM lineitem GROUP BY l_suppkey),
-s_dim AS (
-  SELECT s_suppkey AS entity, last, previous, date_diff('day', previous, last) AS interval_days, s_name AS notes,
+s_all AS (
+  SELECT s_suppkey AS entity, s_acctbal, last, previous, date_diff('day', previous, last) AS interval_days, s_name AS notes,
          CASE WHEN s_acctbal >= 0 THEN a_max END AS a_max, CASE WHEN s_acctbal >= 0 THEN a_min END AS a_min,
          CASE WHEN s_acctbal >= 0 THEN b_max END AS b_max, CASE WHEN s_acctbal >= 0 THEN b_min END AS b_min
-  FROM supplier LEFT JOIN s_dates d ON d.l_suppkey = s_suppkey LEFT JOIN s_sizes z ON z.l_suppkey = s_suppkey
-  WHERE s_acctbal <= 9000)"""
+  FROM supplier LEFT JOIN s_dates d ON d.l_suppkey = s_suppkey LEFT JOIN s_sizes z ON z.l_suppkey = s_suppkey),
+s_dim AS (SELECT * EXCLUDE (s_acctbal) FROM s_all WHERE s_acctbal <= 9000)"""

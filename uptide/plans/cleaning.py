@@ -32,7 +32,7 @@ STANDARD_DEFAULTS = {"compound": "N/A", "mass_kg_per_100": 0.0}
 UNION ALL SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR), o_orderkey, o_custkey, NULL, o_orderpriority, 0.0, 'orders'
 FROM orders WHERE o_orderstatus = 'O'
 UNION ALL SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR), o_orderkey, o_custkey, NULL, o_orderstatus, 0.0, NULL
-FROM orders WHERE o_orderstatus = 'F'""",
+FROM orders WHERE o_orderstatus IS DISTINCT FROM 'O'""",
 )
 def union_sources(spark: SparkSession, sf: str) -> DataFrame:
     standard = a.table(spark, sf, "lineitem").select(
@@ -46,7 +46,7 @@ def union_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
     orders = a.table(spark, sf, "orders")
     extended = orders.filter(F.col("o_orderstatus") == "O").withColumn("source_file", F.lit("orders"))
-    reduced = orders.filter(F.col("o_orderstatus") == "F").drop("o_orderpriority")
+    reduced = orders.filter(~F.col("o_orderstatus").eqNullSafe("O")).drop("o_orderpriority")
     return clean.combine_sources(
         standard,
         clean.standardize(extended, STANDARD, STANDARD_TYPES, STANDARD_DEFAULTS),
@@ -91,7 +91,7 @@ def dedup_keyed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _slices(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct (supplier, day, part, quantity) of finished lines, and of the lines shipped since 1998."""
+    """Distinct (supplier, day, part, quantity) of finished lines, and those of all other lines and of all since 1998."""
     rows = a.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("entity"),
         F.to_date("l_shipdate").alias("day"),
@@ -100,14 +100,14 @@ def _slices(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         "l_linestatus",
     )
     old = rows.filter(F.col("l_linestatus") == "F").drop("l_linestatus").dropDuplicates()
-    return old, rows.filter(F.col("day") >= "1998-01-01").drop("l_linestatus")
+    return old, rows.filter((F.col("day") >= "1998-01-01") | ~F.col("l_linestatus").eqNullSafe("F")).drop("l_linestatus")
 
 
 SLICES_SQL = """
 rows_ AS (SELECT l_suppkey AS entity, CAST(l_shipdate AS DATE) AS day, l_partkey AS product,
   CAST(l_quantity AS BIGINT) AS qty, l_linestatus FROM lineitem),
 old AS (SELECT DISTINCT entity, day, product, qty FROM rows_ WHERE l_linestatus = 'F'),
-inc AS (SELECT entity, day, product, qty FROM rows_ WHERE day >= DATE '1998-01-01')"""
+inc AS (SELECT entity, day, product, qty FROM rows_ WHERE day >= DATE '1998-01-01' OR l_linestatus IS DISTINCT FROM 'F')"""
 
 
 @query(
@@ -210,18 +210,14 @@ def period_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "entity_presence",
-    """SELECT s_suppkey AS entity, CAST(EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_quantity >= 50) AS BIGINT) AS has_production
+    """SELECT s_suppkey AS entity, CAST(EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey) AS BIGINT) AS has_production
 FROM supplier""",
 )
 def entity_presence(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers with (semi join) and without (anti join) a full-size line."""
+    """Whether a supplier has lines: their distinct keys, combined in the map tasks, and one join."""
     suppliers = a.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"))
-    producing = a.table(spark, sf, "lineitem").filter(F.col("l_quantity") >= 50).select(F.col("l_suppkey").alias("entity"))
-    return (
-        suppliers.join(producing, "entity", "left_semi")
-        .withColumn("has_production", F.lit(1))
-        .unionByName(suppliers.join(producing, "entity", "left_anti").withColumn("has_production", F.lit(0)))
-    )
+    lines = a.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("entity"))
+    return clean.presence(suppliers, lines, "entity", "has_production")
 
 
 @query(

@@ -200,10 +200,10 @@ def entity_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "interval_stats",
-    f"""WITH {a.SUPPLIER_DIM_SQL} SELECT round(avg(interval_days), 4) AS media_dias, min(interval_days) AS min_dias, max(interval_days) AS max_dias FROM s_dim""",
+    f"""WITH {a.SUPPLIER_DIM_SQL} SELECT round(avg(interval_days), 4) AS media_dias, min(interval_days) AS min_dias, max(interval_days) AS max_dias FROM s_all""",
 )
 def interval_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(stats.interval_statistics(a.supplier_maintenance(spark, sf), "interval_days"), 4, "media_dias")
+    return rounded(stats.interval_statistics(a.supplier_maintenance(spark, sf, unmapped=True), "interval_days"), 4, "media_dias")
 
 
 @query(

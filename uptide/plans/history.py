@@ -85,17 +85,17 @@ def best_run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Documents as files: before, without the longest; after, without Spanish ones and with one source rewritten."""
+    """Documents as files: before, without the longest; after, without short Spanish ones and with one source rewritten."""
     docs = a.table(spark, sf, "documents")
     keys = [F.col("source").alias("category"), F.col("doc_id").cast("string").alias("name")]
     old = docs.filter(F.col("n_chars") <= 5000).select(*keys, F.md5("text").alias("hash"))
     text = F.when(F.col("source") == "src7", F.concat("text", F.lit("\n"))).otherwise(F.col("text"))
-    new = docs.filter(F.col("lang") != "es").select(*keys, F.md5(text).alias("hash"))
+    new = docs.filter((F.col("lang") != "es") | (F.col("n_chars") > 5000)).select(*keys, F.md5(text).alias("hash"))
     return old, new
 
 
 SNAPSHOT_SQL = """o AS (SELECT source AS category, CAST(doc_id AS VARCHAR) AS name, md5(text) AS h FROM documents WHERE n_chars <= 5000),
-n AS (SELECT source AS category, CAST(doc_id AS VARCHAR) AS name, md5(CASE WHEN source = 'src7' THEN text || chr(10) ELSE text END) AS h FROM documents WHERE lang <> 'es'),
+n AS (SELECT source AS category, CAST(doc_id AS VARCHAR) AS name, md5(CASE WHEN source = 'src7' THEN text || chr(10) ELSE text END) AS h FROM documents WHERE lang <> 'es' OR n_chars > 5000),
 ch AS (SELECT coalesce(o.category, n.category) AS category, coalesce(o.name, n.name) AS name, o.h AS old_hash, n.h AS new_hash,
   CASE WHEN o.name IS NULL THEN 'new' WHEN n.name IS NULL THEN 'removed' WHEN o.h <> n.h THEN 'modified' END AS change
   FROM o FULL JOIN n ON o.category = n.category AND o.name = n.name)"""

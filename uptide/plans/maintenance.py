@@ -112,7 +112,7 @@ SELECT equipamento, CAST(last AS VARCHAR) AS data_ultima_substituicao, round(t_b
   round(amp_a, 4) AS amplitude_a_atual, round(amp_b, 4) AS amplitude_b_atual, round(wear, 4) AS fator_desgaste,
   CAST(CAST(CAST(kg AS DECIMAL(20,7)) AS DECIMAL(20,2)) AS DOUBLE) AS massa_atual_kg,
   CAST(CAST(CAST(w_kg AS DECIMAL(20,6)) AS DECIMAL(20,2)) AS DOUBLE) AS massa_mediana_janelas_kg, round(mass_f, 4) AS fator_massa,
-  round(t, 1) AS "T_prescrito_dias", idle AS dias_ociosidade, CAST(due AS VARCHAR) AS data_prescrita,
+  CAST(printf('%.1f', t) AS DOUBLE) AS "T_prescrito_dias", idle AS dias_ociosidade, CAST(due AS VARCHAR) AS data_prescrita,
   '2000-07-01' AS data_referencia, left_days AS dias_restantes, urgencia FROM urg""",
 )
 def prescription(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,11 +128,11 @@ def urgency_distribution(spark: SparkSession, sf: str) -> DataFrame:
 HISTORICAL_SQL = f"""{a.SUPPLIER_DIM_SQL},
 hist AS (SELECT entity AS equipamento, last, CAST(coalesce(interval_days, 365) AS INTEGER) AS iv,
   last + CAST(coalesce(interval_days, 365) AS INTEGER) AS due,
-  date_diff('day', DATE '2000-07-01', last + CAST(coalesce(interval_days, 365) AS INTEGER)) AS left_days FROM s_dim)"""
+  date_diff('day', DATE '2000-07-01', last + CAST(coalesce(interval_days, 365) AS INTEGER)) AS left_days FROM s_all)"""
 
 
 def _supplier_history(spark: SparkSession, sf: str) -> DataFrame:
-    dim = a.supplier_maintenance(spark, sf).select(
+    dim = a.supplier_maintenance(spark, sf, unmapped=True).select(
         F.col("entity").alias("equipamento"),
         F.col("last_replacement").alias("data_ultima_manutencao"),
         F.col("interval_days").alias("intervalo_manutencao_dias"),

@@ -53,12 +53,12 @@ def correlation_matrix(spark: SparkSession, sf: str) -> DataFrame:
 FEATURES = ["qty_produced", "qty_scrapped", "qty_reworked", "mass_kg_per_100"]
 TARGET_CORR_SQL = f"WITH {TARGET_SQL}, c AS (" + " UNION ALL ".join(
     f"SELECT '{f}' AS feature, corr(CAST({f} AS DOUBLE), CAST(target AS DOUBLE)) AS c FROM tt" for f in FEATURES
-) + ") SELECT feature, round(c, 6) AS corr, CAST(abs(c) > 0.5 AS BIGINT) AS forte FROM c ORDER BY abs(c) DESC, feature LIMIT 3"
+) + ") SELECT feature, round(c, 6) AS corr, CAST(abs(c) > 0.5 AS BIGINT) AS forte FROM c ORDER BY abs(c) DESC, feature"
 
 
 @query("target_correlations", TARGET_CORR_SQL)
 def target_correlations(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(profile.target_correlations(target(spark, sf), "target", FEATURES, top=3), 6, "corr")
+    return rounded(profile.target_correlations(target(spark, sf), "target", FEATURES), 6, "corr")
 
 
 @query(
@@ -78,7 +78,7 @@ def strong_correlations(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "feature_pair_correlations",
-    f"WITH {LINES_SQL} " + _corr_sql([(NUMERIC[i], NUMERIC[j]) for i, j in ((0, 1), (0, 2), (0, 3), (0, 4), (1, 2), (1, 3))]),
+    f"WITH {LINES_SQL} " + _corr_sql([(x, y) for i, x in enumerate(NUMERIC) for y in NUMERIC[i + 1 :]]),
 )
 def feature_pair_correlations(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(profile.feature_pairs(_lines(spark, sf), NUMERIC), 6, "corr")
@@ -195,7 +195,7 @@ SELECT dias_restantes, n, upto - n AS first_index, upto - 1 AS last_index, round
 )
 def sorted_curve(spark: SparkSession, sf: str) -> DataFrame:
     table = stored(prescription(spark, sf), "prescricao")
-    return rounded(profile.sorted_curve(table, "dias_restantes", bin_width=30), 6, "cume_dist")
+    return rounded(profile.sorted_curve(table, "dias_restantes"), 6, "cume_dist")
 
 
 @query(

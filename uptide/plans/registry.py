@@ -13,14 +13,14 @@ SQL: dict[str, str] = {}
 
 
 def flat(df: DataFrame) -> DataFrame:
-    """Plain output types: dates as ISO text, decimals as doubles, whole numbers as bigint, flags as 0/1."""
+    """Plain output types: dates and timestamps as ISO text, decimals as doubles, whole numbers as bigint, flags as 0/1."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.substring(c.cast("string"), 1, 19)
+            c = c.cast("string")
         elif isinstance(f.dataType, (T.DecimalType, T.FloatType)):
             c = c.cast("double")
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType)):

@@ -34,7 +34,7 @@ def _run(spark: SparkSession, sf: str) -> tuple[str, str, DataFrame]:
     return f"{root}/table", f"{root}/daily", batch
 
 
-@query("stream_ingest", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value FROM events")
+@query("stream_ingest", "SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value FROM events")
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     target, _, batch = _run(spark, sf)
     return ingest.read_ingested(spark, target, batch.schema)

@@ -36,7 +36,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """New folder path below the cluster's ``spark.checkpoint.dir``; a temporary one in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="uptide-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

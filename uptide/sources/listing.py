@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from uptide.functions.scalar import report_version
 
@@ -20,13 +20,18 @@ FIRST_REPORT_VERSION = 5
 
 def list_files(spark: SparkSession, *folders: str, pattern: str = "*") -> DataFrame:
     """``category, name, path, size, modified`` of all files below the folders; contents are not read."""
+    return _listed(spark, folders, pattern)
+
+
+def _listed(spark: SparkSession, folders: tuple[str, ...], pattern: str, *more: Column) -> DataFrame:
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(list(folders))
-        .select("path", "length", "modificationTime")
+        .select("path", "length", "modificationTime", *more)
     )
+    extra = files.columns[3:]
     name = F.element_at(F.split("path", "/"), -1)
     category = F.lit(OTHER_CATEGORY)
     for label, rule in reversed(CATEGORIES.items()):
@@ -37,6 +42,7 @@ def list_files(spark: SparkSession, *folders: str, pattern: str = "*") -> DataFr
         "path",
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
+        *extra,
     )
 
 
@@ -51,17 +57,8 @@ def newest_file(files: DataFrame, *patterns: str) -> DataFrame:
 
 
 def file_snapshot(spark: SparkSession, *folders: str, pattern: str = "*") -> DataFrame:
-    """Listing with the MD5 of every file. One file is one row, so inputs above 2 GB do not fit."""
-    content = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(list(folders))
-        .select("path", F.md5("content").alias("hash"))
-    )
-    return list_files(spark, *folders, pattern=pattern).join(content, "path").select(
-        "category", "name", "path", "size", "modified", "hash"
-    )
+    """Listing with the MD5 of every file, in one scan. One file is one row, so inputs above 2 GB do not fit."""
+    return _listed(spark, folders, pattern, F.md5("content").alias("hash"))
 
 
 def next_report_version(files: DataFrame, suffix: str = "") -> DataFrame:

@@ -38,32 +38,35 @@ def production_stream(
     return _typed(raw.select("*", F.col("_metadata.file_name").alias("source_file")), F.col("resource"))
 
 
+#: Folders that the stored keys are spread over. Fixed for the life of a table: a key stays in its bucket.
+KEY_BUCKETS = 64
+
+
 def _existing(spark: SparkSession, target: str, columns: T.StructType, batch_id: int) -> DataFrame:
     """Rows stored by other batches than this one; empty before the first batch."""
-    layout = T.StructType([*columns.fields, T.StructField("month", T.DateType()), T.StructField("batch_id", T.LongType())])
+    layout = T.StructType([*columns.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())])
     return spark.read.schema(layout).option("basePath", target).parquet(target).filter(F.col("batch_id") != batch_id)
 
 
 def store_new_rows(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str], ts: str) -> DataFrame:
     """Write the batch's rows with unseen keys into the batch's own folder, replacing it on a retry.
 
-    Known keys are looked up only in the months the batch touches: a handful of partition
-    values is all the driver sees. Retrying a batch gives the same table.
+    A key is unseen if no other batch has stored it, whatever its time. Stored rows lie in folders by key bucket, of
+    which the look-up reads the key columns only. Retrying a batch gives the same table.
     """
     spark = batch.sparkSession
-    rows = drop_key_duplicates(batch, keys, [ts]).withColumn("month", F.trunc(ts, "month"))
-    months = [r[0] for r in rows.select("month").distinct().collect()]
-    old = _existing(spark, target, batch.schema, batch_id).filter(
-        F.col("month").isin([m for m in months if m is not None]) | F.col("month").isNull()
-    )
-    known = old.select(*[F.col(k).alias(f"__{k}") for k in keys])
-    same = F.lit(True)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
+    rows = drop_key_duplicates(batch, keys, [ts]).withColumn("bucket", bucket)
+    old = _existing(spark, target, batch.schema, batch_id)
+    known = old.select(F.col("bucket").alias("__bucket"), *[F.col(k).alias(f"__{k}") for k in keys])
+    same = F.col("bucket") == F.col("__bucket")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
     fresh = rows.join(known, same, "left_anti")
     path = f"{target}/batch_id={batch_id}"
-    fresh.write.mode("overwrite").partitionBy("month").parquet(path)
-    stored = T.StructType([*batch.schema.fields, T.StructField("month", T.DateType())])
+    # The copies of a bucket meet before the write, so a batch leaves a file per bucket at most.
+    fresh.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    stored = T.StructType([*batch.schema.fields, T.StructField("bucket", T.IntegerType())])
     return spark.read.schema(stored).parquet(path)
 
 
@@ -96,7 +99,7 @@ def start_ingestion(
 
 
 def read_ingested(spark: SparkSession, target: str, columns: T.StructType) -> DataFrame:
-    return _existing(spark, target, columns, -1).drop("month", "batch_id")
+    return _existing(spark, target, columns, -1).drop("bucket", "batch_id")
 
 
 def daily_partials(target: str, *, entity: str, ts: str, compound: str, quantity: str) -> Callable[[DataFrame, int], None]:
