@@ -112,7 +112,7 @@ SELECT equipamento, CAST(last AS VARCHAR) AS data_ultima_substituicao, round(t_b
   round(amp_a, 4) AS amplitude_a_atual, round(amp_b, 4) AS amplitude_b_atual, round(wear, 4) AS fator_desgaste,
   CAST(CAST(CAST(kg AS DECIMAL(20,7)) AS DECIMAL(20,2)) AS DOUBLE) AS massa_atual_kg,
   CAST(CAST(CAST(w_kg AS DECIMAL(20,6)) AS DECIMAL(20,2)) AS DOUBLE) AS massa_mediana_janelas_kg, round(mass_f, 4) AS fator_massa,
-  CAST(printf('%.1f', t) AS DOUBLE) AS "T_prescrito_dias", idle AS dias_ociosidade, CAST(due AS VARCHAR) AS data_prescrita,
+  CAST(round(CAST(CAST(t AS VARCHAR) AS DECIMAL(38,15)), 1) AS DOUBLE) AS "T_prescrito_dias", idle AS dias_ociosidade, CAST(due AS VARCHAR) AS data_prescrita,
   '2000-07-01' AS data_referencia, left_days AS dias_restantes, urgencia FROM urg""",
 )
 def prescription(spark: SparkSession, sf: str) -> DataFrame:
