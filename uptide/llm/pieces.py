@@ -53,7 +53,6 @@ class Vocabulary:
     unknown: int = 0
     byte_ids: list[int] | None = None
     texts: list[bytes] = field(default_factory=list)
-    hidden: frozenset[int] = frozenset()
 
     def __post_init__(self):
         self.longest = max(map(len, self.ids), default=1)
@@ -64,7 +63,7 @@ class Vocabulary:
         self.unknown_score = min(self.scores.values(), default=0.0) - 10
         self.rank = {p: -s for p, s in self.scores.items() if len(p) > 1}
         self.fits: dict[tuple[str, str], bool] = {}
-        self.solved: dict[str, tuple[int, ...]] = {}
+        self.solved: dict[str, bytes] = {}
         self.automaton: ahocorasick.Automaton | None = None
         if self.bpe:
             self.halves = {}
@@ -155,7 +154,7 @@ def load(model_file: str = MODEL_FILE) -> Vocabulary:
     if len(proto.pieces) > MAX_PIECES or proto.trainer_spec.model_type not in (1, 2):
         raise ValueError("a unigram or BPE model of bounded size is expected")
     model = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-    ids, scores, texts, raw, hidden = {}, {}, [], [-1] * 256, set()
+    ids, scores, texts, raw = {}, {}, [], [-1] * 256
     for i, p in enumerate(proto.pieces):
         plain = p.type in (1, 4)
         if p.type == 4:
@@ -164,10 +163,9 @@ def load(model_file: str = MODEL_FILE) -> Vocabulary:
             ids[p.piece], scores[p.piece] = i, p.score
         if model.is_byte(i):
             raw[int(p.piece[3:5], 16)] = i
-        if model.is_control(i):
-            hidden.add(i)
-        texts.append(bytes([int(p.piece[3:5], 16)]) if model.is_byte(i) else p.piece.replace(SPACE, " ").encode() if plain else "⁇".encode())
-    return Vocabulary(ids, scores, proto.trainer_spec.model_type == 2, model.unk_id(), raw if min(raw) >= 0 else None, texts, frozenset(hidden))
+        # Control pieces decode to nothing.
+        texts.append(bytes([int(p.piece[3:5], 16)]) if model.is_byte(i) else p.piece.replace(SPACE, " ").encode() if plain else b"" if model.is_control(i) else "⁇".encode())
+    return Vocabulary(ids, scores, proto.trainer_spec.model_type == 2, model.unk_id(), raw if min(raw) >= 0 else None, texts)
 
 
 def normalised(text: str) -> str:
@@ -214,25 +212,29 @@ def solve(v: Vocabulary, s: str) -> list[str]:
     return path[::-1]
 
 
-def encode(v: Vocabulary, text: str | None) -> list[int]:
-    """Ids of one text in one piece of work."""
-    out: list[int] = []
+def encode_raw(v: Vocabulary, text: str | None) -> bytes:
+    """Ids of one text in one piece of work, as 32-bit numbers."""
     solved = v.solved
-    for s in v.segment.findall(normalised(text or "")):
-        found = solved.get(s)
-        if found is None:
-            found = tuple(v.id_list(solve(v, s)))
-            if len(s) <= KEPT_CHARS:
-                if len(solved) >= KEPT_SEGMENTS:
-                    solved.clear()
-                solved[s] = found
-        out += found
-    return out
+    segments = v.segment.findall(normalised(text or ""))
+    parts = list(map(solved.get, segments))
+    if None in parts:
+        for i, part in enumerate(parts):
+            if part is None and (part := solved.get(s := segments[i])) is None:
+                part = np.array(v.id_list(solve(v, s)), np.int32).tobytes()
+                if len(s) <= KEPT_CHARS:
+                    if len(solved) >= KEPT_SEGMENTS:
+                        solved.clear()
+                    solved[s] = part
+            parts[i] = part
+    return b"".join(parts)
+
+
+def encode(v: Vocabulary, text: str | None) -> list[int]:
+    return np.frombuffer(encode_raw(v, text), np.int32).tolist()
 
 
 def decode(v: Vocabulary, ids) -> str:
-    texts, hidden = v.texts, v.hidden
-    data = b"".join([texts[i] for i in ids if i not in hidden])
+    data = b"".join([v.texts[i] for i in ids])
     return data.decode("utf-8", "replace").removeprefix(" ")
 
 
@@ -340,11 +342,10 @@ def combine(matrices: list[tuple], nodes: list[list[tuple[int, int]]]) -> list[t
 # Spark ---------------------------------------------------------------------------------------------------------------
 
 
-def _ids_array(lists: list[list[int]]) -> pa.Array:
+def _ids_array(lists: list[bytes]) -> pa.Array:
     offsets = np.zeros(len(lists) + 1, np.int32)
-    np.cumsum([len(x) for x in lists], out=offsets[1:])
-    flat = np.fromiter((i for x in lists for i in x), np.int32, int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    np.cumsum([len(x) // 4 for x in lists], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(lists), np.int32)))
 
 
 def _chunks(size: int, chunk: int) -> list[tuple[int, int]]:
@@ -368,16 +369,16 @@ def encode_documents(
         [given.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
     )
 
-    def row_batch(ids_column: pa.Array, lists: list[list[int]], texts: list[str]) -> pa.RecordBatch:
-        same = [decode(shared.value, x) == t for x, t in zip(lists, texts, strict=True)]
-        return pa.RecordBatch.from_arrays([ids_column, pa.array([len(x) for x in lists], pa.int64()), _ids_array(lists), pa.array(same, pa.bool_())], names=out.names)
+    def row_batch(ids_column: pa.Array, lists: list[bytes], texts: list[str]) -> pa.RecordBatch:
+        same = [decode(shared.value, np.frombuffer(x, np.int32).tolist()) == t for x, t in zip(lists, texts, strict=True)]
+        return pa.RecordBatch.from_arrays([ids_column, pa.array([len(x) // 4 for x in lists], pa.int64()), _ids_array(lists), pa.array(same, pa.bool_())], names=out.names)
 
     def whole(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 texts = part.column("text").to_pylist()
-                yield row_batch(part.column("doc_id"), [encode(shared.value, t) for t in texts], texts)
+                yield row_batch(part.column("doc_id"), [encode_raw(shared.value, t) for t in texts], texts)
 
     length = F.length("text")
     ordinary = given.where(length < giant_chars).mapInArrow(whole, out)
@@ -427,7 +428,7 @@ def _encode_giants(giants: DataFrame, shared, out: T.StructType, row_batch, chun
     def trace(batches):
         for batch in batches:
             rows = zip(*(batch.column(x).to_pylist() for x in ("a", "b", "s", "p", "n", "q", "m")), strict=True)
-            lists = [shared.value.id_list(backtrace(shared.value, s, (a + p, n), (b + q, m))) for a, b, s, p, n, q, m in rows]
+            lists = [np.array(shared.value.id_list(backtrace(shared.value, s, (a + p, n), (b + q, m))), np.int32).tobytes() for a, b, s, p, n, q, m in rows]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("chunk"), _ids_array(lists)], names=traced.names)
 
     parts = chunks.join(nodes, ["key", "chunk"]).mapInArrow(trace, traced)
@@ -435,7 +436,8 @@ def _encode_giants(giants: DataFrame, shared, out: T.StructType, row_batch, chun
 
     def finish(batches):
         for batch in batches:
-            yield row_batch(batch.column("doc_id"), batch.column("ids").to_pylist(), batch.column("text").to_pylist())
+            ids = [np.asarray(x, np.int32).tobytes() for x in batch.column("ids").to_pylist()]
+            yield row_batch(batch.column("doc_id"), ids, batch.column("text").to_pylist())
 
     return giants.join(ids, "key").select("doc_id", "text", "ids").mapInArrow(finish, out)
 
