@@ -162,7 +162,7 @@ def test_stage_tables(spark, tmp_path):
     sinks.write_stage(df, str(tmp_path / "p"))
     assert rows(readers.read_stage(spark, str(tmp_path / "p"))) == rows(df)
     sinks.export_statistics(df, str(tmp_path / "s"))
-    assert readers.read_stage(spark, str(tmp_path / "s/csv"), "csv").first().d == D(2024, 1, 2)
+    assert readers.read_stage(spark, str(tmp_path / "s/csv"), "csv", df.schema).first().d == D(2024, 1, 2)
     assert set(readers.read_stage(spark, str(tmp_path / "s/json"), "json").columns) == {"equipamento", "d", "v"}
 
 
@@ -217,9 +217,9 @@ def test_stream_equals_batch_and_survives_a_retry(spark, raw, tmp_path):
     def run():
         stream = ingest.production_stream(spark, str(raw), files_per_batch=1)
         hook = ingest.daily_partials(daily, entity="entity", ts="prod_ts", compound="compound", quantity="qty_produced")
-        query = ingest.start_ingestion(stream, target=target, checkpoint=state, keys=keys, after=hook, poll_seconds=None)
+        query = ingest.start_ingestion(stream, target=target, checkpoint=state, keys=keys, prepare=readers.production_rows, after=hook, poll_seconds=None)
         query.awaitTermination(120)
-        return ingest.read_ingested(spark, target, stream.schema)
+        return ingest.read_ingested(spark, target, readers.read_production(spark, str(raw)).schema)
 
     batch = readers.read_production(spark, str(raw)).filter("source_file != 'EQ-138.2.csv'")
     assert rows(run().filter("source_file != 'EQ-138.2.csv'"), "order_id") == rows(batch, "order_id")
@@ -249,3 +249,10 @@ def test_refresh_only_on_change(spark, raw, tmp_path):
         write(raw / "EQ-102.csv", HEADER)
         ingest.refresh_if_changed(spark, str(raw), state, lambda c: (_ for _ in ()).throw(RuntimeError()))
     assert refresh() and not refresh() and refresh(force=True)
+
+
+def test_production_is_read_by_each_files_header(spark, tmp_path):
+    write(tmp_path / "EQ-1.csv", "Qtd. Refugada,Qtd. Produzida,Cód. Ordem,Data de Produção,Cód. Recurso", "5,100,1,05/03/2024,EQ-1")
+    write(tmp_path / "EQ-2.csv", "Cód. Ordem,Data de Produção,Cód. Recurso,Qtd. Produzida,Qtd. Refugada", "2,06/03/2024,EQ-2,200,M1")
+    found = readers.read_entity_files(spark, str(tmp_path))
+    assert rows(found, "entity", "order_id", "qty_produced", "qty_scrapped") == [("EQ-1", 1, 100, 5), ("EQ-2", 2, 200, None)]

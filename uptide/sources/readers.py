@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from uptide import schema
 from uptide.functions.scalar import parse_timestamp, safe_double
-from uptide.operators.clean import combine_sources, drop_key_duplicates, standardize, with_entity_prefix
+from uptide.operators.clean import combine_sources, drop_key_duplicates, with_entity_prefix
 from uptide.operators.events import MEASURES
 from uptide.operators.features import DEFAULT_INTERVAL_DAYS, with_defaults
 from uptide.sources.workbooks import named_cells, read_cells
@@ -24,11 +26,52 @@ def _typed(raw: DataFrame, entity) -> DataFrame:
     )
 
 
-def _csv(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    raw = (
-        spark.read.schema(schema.PRODUCTION).option("header", True).option("pathGlobFilter", pattern).csv(folder)
-    )
-    return raw.select("*", F.col("_metadata.file_name").alias("source_file"))
+#: Most columns of a production file.
+MAX_COLUMNS = 64
+#: A row with so many known column names is its file's header.
+HEADER_NAMES = 2
+
+
+CELLS = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MAX_COLUMNS)])
+
+
+def cells(raw: DataFrame) -> DataFrame:
+    """``cells, file, source_file`` of files that were read with the schema ``CELLS`` and without a header."""
+    return raw.select(F.array(*CELLS.names).alias("cells"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("source_file"))
+
+
+def by_header(
+    rows: DataFrame, *, fallbacks: Mapping[str, Sequence[str]] | None = None, defaults: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Production rows of cells, whose columns are found by each file's own header.
+
+    Files of any column order and of several layouts may lie side by side; a file without a header has the standard
+    order. Text that is no value of the column's type becomes NULL, a column that a file lacks gets ``defaults`` or NULL.
+    The headers, one row per file, are joined by file.
+    """
+    trimmed = F.transform("cells", lambda c: F.trim(F.regexp_replace(c, "\ufeff", "")))
+    standard = F.array(*[F.lit(h) for h in schema.PRODUCTION_HEADERS])
+    header = F.size(F.array_intersect(trimmed, standard)) >= HEADER_NAMES
+    headers = rows.filter(header).groupBy("file").agg(F.min(trimmed).alias("header"))
+    joined = rows.filter(~header).join(headers, "file", "left").withColumn("header", F.coalesce("header", standard))
+
+    def column(head: str, name: str) -> Column:
+        value = F.lit((defaults or {}).get(name))
+        for candidate in reversed((head, *(fallbacks or {}).get(name, ()))):
+            at = F.array_position("header", candidate)
+            value = F.when(at > 0, F.get("cells", (at - 1).cast("int"))).otherwise(value.cast("string"))
+        return value.try_cast(schema.PRODUCTION_TYPES[name]).alias(name)
+
+    return joined.select(*[column(h, n) for h, n in schema.PRODUCTION_HEADERS.items()], "source_file")
+
+
+def production_rows(rows: DataFrame) -> DataFrame:
+    """Production records of cells; the entity is the resource column."""
+    return _typed(by_header(rows), F.col("resource"))
+
+
+def _csv(spark: SparkSession, folder: str, pattern: str, **options) -> DataFrame:
+    return by_header(cells(spark.read.schema(CELLS).option("pathGlobFilter", pattern).csv(folder)), **options)
 
 
 def read_entity_files(spark: SparkSession, folder: str, pattern: str = "EQ-*.csv") -> DataFrame:
@@ -39,18 +82,15 @@ def read_entity_files(spark: SparkSession, folder: str, pattern: str = "EQ-*.csv
 
 
 def read_extended_files(spark: SparkSession, folder: str, pattern: str = "EQ-*.*.csv") -> DataFrame:
-    """Files with other columns (one layout per call), projected onto the standard schema by header name."""
-    raw = spark.read.option("header", True).option("pathGlobFilter", pattern).csv(folder)
-    mapping = {name: (header,) for header, name in schema.PRODUCTION_HEADERS.items()}
-    mapping["compound"] = (*mapping["compound"], *schema.COMPOUND_FALLBACKS)
-    rows = raw.select("*", F.col("_metadata.file_name").alias("source_file"))
-    standard = standardize(
-        rows,
-        {**mapping, "source_file": ("source_file",)},
-        {**schema.PRODUCTION_TYPES, "source_file": "string"},
-        {"compound": schema.MISSING_COMPOUND, "mass_kg_per_100": 0.0},
+    """Files with other columns, of any layouts; a description stands in for a missing compound."""
+    rows = _csv(
+        spark,
+        folder,
+        pattern,
+        fallbacks={"compound": schema.COMPOUND_FALLBACKS},
+        defaults={"compound": schema.MISSING_COMPOUND, "mass_kg_per_100": 0.0},
     )
-    return _typed(standard, F.split("source_file", r"\.")[0])
+    return _typed(rows, F.split("source_file", r"\.")[0])
 
 
 def read_consolidated_files(spark: SparkSession, folder: str, pattern: str = "DadosProducao*.csv") -> DataFrame:
@@ -208,8 +248,12 @@ def read_simple_maintenance(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.SIMPLE_MAINTENANCE).option("header", True).csv(path)
 
 
-def read_stage(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
-    """Stage table written by the sinks: parquet (default), JSON records or CSV with ISO dates."""
-    if kind == "csv":
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return spark.read.format(kind).load(path)
+def read_stage(spark: SparkSession, path: str, kind: str = "parquet", columns: T.StructType | str | None = None) -> DataFrame:
+    """Stage table written by the sinks: parquet (default), JSON records or CSV with ISO dates.
+
+    CSV needs its ``columns``: nothing is guessed from the data, and a header that differs is an error.
+    """
+    if kind == "csv" and columns is None:
+        raise ValueError("CSV stages are read with a schema")
+    reader = spark.read.schema(columns) if columns is not None else spark.read
+    return reader.format(kind).option("header", True).option("enforceSchema", False).load(path)

@@ -17,7 +17,7 @@ from uptide import schema
 from uptide.operators.clean import drop_key_duplicates
 from uptide.operators.incremental import detect_changes, has_changes
 from uptide.sources.listing import file_snapshot
-from uptide.sources.readers import _typed
+from uptide.sources.readers import CELLS, cells
 
 POLL_SECONDS = 300
 
@@ -25,17 +25,14 @@ POLL_SECONDS = 300
 def production_stream(
     spark: SparkSession, folder: str, *, pattern: str = "EQ-*.csv", archive: str | None = None, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Stream of production records from new CSV files; with ``archive``, finished files move there."""
-    reader = (
-        spark.readStream.schema(schema.PRODUCTION)
-        .option("header", True)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-    )
+    """Stream of the cells of new CSV files; with ``archive``, finished files move there.
+
+    A file arrives within one batch, so ``prepare=readers.production_rows`` of :func:`start_ingestion` finds its columns by header.
+    """
+    reader = spark.readStream.schema(CELLS).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    raw = reader.csv(folder)
-    return _typed(raw.select("*", F.col("_metadata.file_name").alias("source_file")), F.col("resource"))
+    return cells(reader.csv(folder))
 
 
 #: Folders that the stored keys are spread over. Fixed for the life of a table: a key stays in its bucket.
@@ -77,19 +74,20 @@ def start_ingestion(
     checkpoint: str,
     keys: Sequence[str],
     ts: str = "prod_ts",
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     after: Callable[[DataFrame, int], None] | None = None,
     poll_seconds: int | None = POLL_SECONDS,
 ) -> StreamingQuery:
     """Deduplicate every micro-batch against the table and append it.
 
     ``poll_seconds=None`` processes what is there and stops. ``after`` gets the stored rows
-    of each batch, for incremental aggregates.
+    of each batch, for incremental aggregates. ``prepare`` makes records of each batch.
     """
     spark = stream.sparkSession
     spark.createDataFrame([], "ready int").write.mode("append").parquet(f"{target}/_layout")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = store_new_rows(batch, batch_id, target, keys, ts)
+        stored = store_new_rows(prepare(batch) if prepare else batch, batch_id, target, keys, ts)
         if after:
             after(stored, batch_id)
 
