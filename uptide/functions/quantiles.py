@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from uptide.functions.prefix import running_totals
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANK_ACCURACY = 10_000
 #: Parts that the values to be ordered are cut into, per column.
@@ -47,31 +45,25 @@ def exact_quantiles(
     else:
         counted = _counted(df, columns, probabilities, cells, accuracy)
     upto = _cumulated(counted, len(columns))
-    totals = counted.groupBy("c").agg(F.sum("n").alias("total"))
-    # One row per column: the totals, and from the ranks that follow the rows that hold them.
-    ranks = [F.struct(F.lit(float(p)).alias("probability"), (F.col("total") - 1) * F.lit(p)) for p in probabilities]
-    wanted = totals.select("c", F.inline(F.array(*ranks)).alias("probability", "rank"))
-    wanted = wanted.select("c", "probability", "rank", F.inline(F.array(*[F.struct(f("rank").alias("at")) for f in (F.floor, F.ceil)])))
-    # One row of a few dozen ranks per column, of which each counted row keeps those that fall into it.
-    listed = wanted.groupBy("c").agg(F.collect_set("at").alias("ats")).agg(F.map_from_entries(F.collect_list(F.struct("c", "ats"))))
-    within = F.filter(F.col("ats")[F.col("c")], lambda a: (a < F.col("upto")) & (a >= F.col("upto") - F.col("n")))
-    hits = (
-        upto.select("*", listed.scalar().alias("ats"))
-        .select("c", "value", "least", "most", "n", "upto", F.explode(within).alias("at"))
-        .select(
-            "c",
-            "at",
-            F.when(F.col("value").isNotNull(), F.col("value"))
-            .when(F.col("at") == F.col("upto") - 1, F.col("most"))
-            .when(F.col("at") == F.col("upto") - F.col("n"), F.col("least"))
-            .otherwise(F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double"))
-            .alias("value"),
-        )
+    # The ranks of a column: a few dozen, of which each counted row keeps those that fall into it.
+    ranks = [
+        F.struct(F.lit(float(p)).alias("probability"), rank.alias("rank"), at(rank).alias("at"))
+        for p in probabilities
+        for rank in [(F.col("total") - 1) * F.lit(p)]
+        for at in (F.floor, F.ceil)
+    ]
+    within = F.filter(F.array(*ranks), lambda r: (r["at"] < F.col("upto")) & (r["at"] >= F.col("upto") - F.col("n")))
+    value = (
+        F.when(F.col("value").isNotNull(), F.col("value"))
+        .when(F.col("r.at") == F.col("upto") - 1, F.col("most"))
+        .when(F.col("r.at") == F.col("upto") - F.col("n"), F.col("least"))
+        .otherwise(F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double"))
     )
-    found = wanted.join(hits, ["c", "at"]).groupBy("c", "probability", "rank").agg(F.min_by("value", "at").alias("lo"), F.max_by("value", "at").alias("hi"))
+    hits = upto.select("*", F.explode(within).alias("r")).select("c", "r.*", value.alias("value"))
+    found = hits.groupBy("c", "probability", "rank").agg(F.min_by("value", "at").alias("lo"), F.max_by("value", "at").alias("hi"))
     lo, hi, part = F.col("lo"), F.col("hi"), F.col("rank") - F.floor("rank")
-    value = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * part)
-    return found.select(F.element_at(names, F.col("c") + 1).alias("column"), "probability", value.alias("value"))
+    between = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * part)
+    return found.select(F.element_at(names, F.col("c") + 1).alias("column"), "probability", between.alias("value"))
 
 
 def _counted(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], cells: Column, accuracy: int) -> DataFrame:
@@ -99,12 +91,23 @@ def _counted(df: DataFrame, columns: Sequence[str], probabilities: Sequence[floa
 
 
 def _cumulated(counted: DataFrame, columns: int) -> DataFrame:
-    """``counted`` with ``upto``, the rows up to and with this one; ordered in blocks cut at sketched quantiles."""
+    """``counted`` with ``upto``, the rows up to and with this one, and ``total``, all rows of its column.
+
+    Values are ordered in blocks cut at sketched quantiles; one row per block is ordered over the column.
+    """
     points = [i / ORDER_BLOCKS for i in range(1, ORDER_BLOCKS)]
     cuts = counted.agg(F.array(*[F.percentile_approx(F.when(F.col("c") == i, F.col("least")), points, 10 * ORDER_BLOCKS) for i in range(columns)]))
-    placed = counted.select("*", cuts.scalar().alias("__cuts"))
-    block = F.size(F.filter(F.coalesce(F.col("__cuts")[F.col("c")], F.array().cast("array<double>")), lambda x: x <= F.col("least")))
-    return running_totals(placed, keys=["c"], order=["segment", "least"], block=block, totals={"upto": "n"}).drop("__cuts")
+    block = F.size(F.filter(F.coalesce(F.col("cuts")[F.col("c")], F.array().cast("array<double>")), lambda x: x <= F.col("least")))
+    placed = counted.select("*", cuts.scalar().alias("cuts")).select(*counted.columns, block.alias("block"))
+    column = Window.partitionBy("c")
+    before = column.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        placed.groupBy("c", "block")
+        .agg(F.sum("n").alias("size"))
+        .select("c", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"), F.sum("size").over(column).alias("total"))
+    )
+    inside = Window.partitionBy("c", "block").orderBy("segment", "least").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(blocks, ["c", "block"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
 
 
 def with_quantiles(
