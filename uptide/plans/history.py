@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptide.operators import incremental, reports, runlog
-from uptide.operators.stats import entity_statistics
+from uptide.operators import incremental, runlog
 from uptide.plans import adapters as a
-from uptide.plans.feature_tables import wear
-from uptide.plans.registry import query, rounded
+from uptide.plans.registry import query
 
 STEPS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
