@@ -106,7 +106,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             low = at = m.end()
         else:
             at += 1
-    found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         d = _digits(m[0])
         if CARD_DIGITS[0] <= len(d) <= CARD_DIGITS[1] and luhn(d):
@@ -315,7 +315,7 @@ def rewritten(words: list[str], gold: list[tuple[int, int, int]], turn: int) ->
     if KINDS[k] == "email":
         forms, bad = [text.replace("@", x) for x in (" at ", " (at) ", " [at] ")] + [text.replace("@", " at ").replace(".", " dot ")], text.replace("@", " and ")
     elif KINDS[k] == "ip":
-        forms, bad = [text.replace(".", x) for x in ("[.]", " . ", "(.)")], ".".join(str(300 + int(x) % 600) for x in text.split("."))
+        forms, bad = [text.replace(".", x) for x in ("[.]", " . ", "(.)")], ".".join(str(300 + int(x[-3:])) for x in text.split("."))
     elif KINDS[k] == "card":
         forms = [x.join(d[a : a + 4] for a in range(0, len(d), 4)) for x in (".", "/", " - ")]
         bad = d[:-1] + str((int(d[-1]) + 3) % 10)
