@@ -50,6 +50,8 @@ MIN_HASHES = 4
 THRESHOLD = 0.7
 LOW = -2.0
 KEPT_UNITS = 400_000
+#: Texts scored together.
+AT_ONCE = 256
 
 #: Look-alike characters, fixed values.
 FOLDED = str.maketrans("013457@$", "oieastas")
@@ -358,8 +360,8 @@ def bests(rows: DataFrame, model: Model) -> DataFrame:
 
     def best(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(i, AT_ONCE)
                 model = shared.value
                 words = [words_of(t) for t in part.column("text").to_pylist()]
                 model.learn_words(set().union(*words))
@@ -389,9 +391,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", th
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            words = [words_of(t) for t in texts]
-            shared.value.learn_words(set().union(*words))
-            yield pd.Series([shared.value.score(shared.value.best_two(w)) for w in words], texts.index, float)
+            found: list[float] = []
+            for i in range(0, len(texts), AT_ONCE):  # few texts' words in memory, and the known words stay in use
+                words = [words_of(t) for t in texts.iloc[i : i + AT_ONCE]]
+                shared.value.learn_words(set().union(*words))
+                found += [shared.value.score(shared.value.best_two(w)) for w in words]
+            yield pd.Series(found, texts.index, float)
 
     scored = F.pandas_udf(scores, "double")(F.col(text_col).cast("string"))
     return docs.where(scored < threshold)
