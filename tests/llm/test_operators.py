@@ -311,6 +311,18 @@ def test_suffix_dedup_matches_brute_force(frame, docs, monkeypatch, hot):
     assert plain(suffix_dedup.substring_report(frame)) == brute_substrings(docs)
 
 
+def test_suffix_dedup_of_rules_and_passages_twice_under_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", 2)
+    rnd = random.Random(8)
+    noise = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = noise(130)
+    rows = [(i, "".join(x + noise(rnd.randint(20, 60)) for x in ("-" * rnd.randint(60, 200), passage, "-=" * 45, "-" * rnd.randint(60, 200), passage)), "en", "s", 0) for i in range(12)]
+    rows += [rows[3], (4, rows[4][1] + passage + "-" * 700, "en", "s", 0)]
+    rnd.shuffle(rows)
+    for parts in (1, 3, 6):
+        assert plain(suffix_dedup.substring_report(spark.createDataFrame(rows, SCHEMA).repartition(parts))) == brute_substrings(rows)
+
+
 def test_suffix_dedup_of_nothing(empty):
     assert suffix_dedup.substring_report(empty).collect() == []
 
