@@ -28,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Owner-specific secrets become a mark; every document stays, ``n_chars`` follows the text."""
+    """Secrets but wide examples become a mark; every document stays, ``n_chars`` follows the text."""
     return _counted(secrets.redact_live(docs))
 
 

@@ -1,9 +1,11 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Every text is searched for fixed patterns (base spans) and for generic key-like tokens (candidates). The values of both
-are hashed and counted over the corpus by distinct repositories and distinct owners. A value held by more than
-``max_owners`` owners or ``max_repositories`` repositories is a widely copied example; any other is owner-specific and
-looks live. Base spans always stay; a generic candidate becomes a span of kind ``generic`` only if it looks live.
+are hashed and counted over the corpus by distinct repositories, owners and texts. Copies of a text in other sources add
+nothing: each text counts for one owner, and if one owner holds all texts of a value, it is the only one. A generic value
+of more than ``max_owners`` owners or ``max_repositories`` repositories is a copied example; a value of a fixed pattern is
+one only beyond ``wide_owners`` or ``wide_repositories``, and any value beyond ``max_texts`` texts. All others look live.
+Base spans always stay; a generic candidate becomes a span of kind ``generic`` only if it looks live.
 
 Copies of a value within a document count once, copies within a repository or owner are combined before the shuffle;
 a value that a third of the corpus holds is a counter, never a gathered group.
@@ -44,9 +46,14 @@ MIN_ENTROPY = 3.3
 DIGIT = re.compile(r"[0-9]")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 
-#: A value is owner-specific up to so many owners and repositories.
+#: A generic value is owner-specific up to so many owners and repositories.
 MAX_OWNERS = 1
 MAX_REPOSITORIES = 4
+#: A base value is a wide example only beyond so many owners or repositories.
+WIDE_OWNERS = 4
+WIDE_REPOSITORIES = 16
+#: Any value in more distinct texts than this is a wide example.
+MAX_TEXTS = 1000
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -127,32 +134,54 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
 
 
 def ownership(scanned: DataFrame) -> DataFrame:
-    """Per value hash: distinct owners, repositories and documents that hold it.
+    """Per value hash: owners, repositories, distinct texts and documents that hold it.
 
-    Two group-bys on growing keys; both combine in the map tasks.
+    Group-bys on keys with the text's hash before those without; all combine in the map tasks.
     """
     held = (
-        scanned.select("owner", "repository", F.explode(F.array_distinct("hashes")).alias("hash"))
-        .groupBy("hash", "owner", "repository")
+        scanned.select("owner", "repository", "text_key", F.explode(F.array_distinct("hashes")).alias("hash"))
+        .groupBy("hash", "owner", "repository", "text_key")
         .agg(F.count(F.lit(1)).alias("documents"))
-        .groupBy("hash", "owner")
-        .agg(F.count(F.lit(1)).alias("repositories"), F.sum("documents").alias("documents"))
     )
-    return held.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"), F.sum("documents").alias("documents"))
-
-
-def find_secrets(docs: DataFrame, *, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES, **columns) -> DataFrame:
-    """``doc_id, text_key, found``: spans (kind, start, end, owners, repositories, documents, live) of each document."""
+    # Each text counts where it stands first; one owner is enough for a value if it has all of its texts.
+    placed = held.groupBy("hash", "text_key").agg(F.min(F.struct("owner", "repository")).alias("o"), F.sum("documents").alias("documents"))
+    counts = (
+        placed.groupBy("hash", "o")
+        .agg(F.count(F.lit(1)).alias("texts"), F.sum("documents").alias("documents"))
+        .groupBy("hash", F.col("o.owner").alias("owner"))
+        .agg(F.count(F.lit(1)).alias("repositories"), F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
+        .groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"), F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
+    )
+    most = held.groupBy("hash", "owner", "text_key").agg(F.count(F.lit(1)).alias("n")).groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n")).groupBy("hash").agg(F.max("n").alias("most"))
+    owners = F.when(F.col("most") == F.col("texts"), F.lit(1).cast("long")).otherwise(F.col("owners"))
+    return counts.join(most, "hash").select("hash", owners.alias("owners"), "repositories", "texts", "documents")
+
+
+def find_secrets(
+    docs: DataFrame,
+    *,
+    max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
+    wide_owners: int = WIDE_OWNERS,
+    wide_repositories: int = WIDE_REPOSITORIES,
+    max_texts: int = MAX_TEXTS,
+    **columns,
+) -> DataFrame:
+    """``doc_id, text_key, found``: spans (kind, start, end, owners, repositories, texts, documents, live) of each document."""
     scanned = scan(docs, **columns)
     counts = ownership(scanned)
-    span = F.struct(F.col("s.kinds").alias("kind"), F.col("s.starts").alias("start"), F.col("s.ends").alias("end"), "owners", "repositories", "documents", "live")
+    span = F.struct(F.col("s.kinds").alias("kind"), F.col("s.starts").alias("start"), F.col("s.ends").alias("end"), "owners", "repositories", "texts", "documents", "live")
+    added = F.col("s.kinds") == ADDED
+    few_owners = F.col("owners") <= F.when(added, max_owners).otherwise(wide_owners)
+    few_repositories = F.col("repositories") <= F.when(added, max_repositories).otherwise(wide_repositories)
     judged = (
         scanned.where(F.size("hashes") > 0)
         .select("doc_id", "text_key", F.explode(F.arrays_zip("kinds", "starts", "ends", "hashes")).alias("s"))
         .withColumn("hash", F.col("s.hashes"))
         .join(counts, "hash")
-        .withColumn("live", (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
-        .where((F.col("s.kinds") != ADDED) | F.col("live"))
+        .withColumn("live", few_owners & few_repositories & (F.col("texts") <= max_texts))
+        .where(~added | F.col("live"))
         .groupBy("doc_id", "text_key")
         .agg(F.array_sort(F.collect_set(span)).alias("found"))
     )
@@ -173,7 +202,7 @@ def _digest(found):
 
 
 def secret_report(docs: DataFrame, **columns) -> DataFrame:
-    """The contract's row per document; ``n_live`` counts owner-specific spans."""
+    """The contract's row per document; ``n_live`` counts spans that look live."""
     return find_secrets(docs, **columns).withColumn("d", F.udf(_digest, DIGEST)("found")).select("doc_id", "d.*")
 
 
