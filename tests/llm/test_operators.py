@@ -4,12 +4,13 @@ import collections
 import hashlib
 import random
 import re
+import tempfile
 
 import numpy as np
 import pytest
 import xxhash
 
-from uptide.llm import ann, mixing, pieces, pii, quality, secrets, sentence_spans, simhash, suffix_dedup, toxicity
+from uptide.llm import ann, mixing, pieces, pii, quality, queries, secrets, sentence_spans, simhash, suffix_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Extra columns whose names the operators use inside.
@@ -371,6 +372,29 @@ def test_sentence_spans_match_brute_force(frame, docs, empty):
     assert sentence_spans.span_report(empty).collect() == []
 
 
+def queries_on(spark, name, rows):
+    """A registered query over these documents."""
+    folder = tempfile.mkdtemp()
+    spark.createDataFrame(rows, SCHEMA).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    return queries.QUERIES[name](spark, folder)
+
+
+def test_sentence_spans_of_few_long_short_and_unspaced_sentences(spark):
+    def text(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n))
+
+    short = "Yes it is. No way. Oh well. It was so. We saw them there."
+    han = "今天天气很好我们去公园散步。然后回家吃晚饭看电视节目。"
+    rows = []
+    for i in range(2):
+        rows.append((i, f"Host{i} {text('p', 20)}. {text('one', 26).capitalize()}. {text('q', 9)} host{i} end.", "en", "s", 0))
+        rows.append((10 + i, f"Host{i} begins. {text('x', 13).capitalize()}. {text('y', 13).capitalize()}. And host{i} ends.", "en", "s", 0))
+        rows.append((20 + i, f"Host{i} begins. {short} And host{i} ends.", "en", "s", 0))
+        rows.append((30 + i, han, "zh", "s", 0))
+    kept = {r["doc_id"]: r for r in queries_on(spark, "op10_sentence_spans", rows).collect()}
+    assert [list(kept[i]["removed"]) for i in (0, 1, 10, 11, 20, 21, 30, 31)] == [[], [1], [], [1, 2], [], [1, 2, 3, 4, 5], [], [0, 1]]
+
+
 # Mixing ----------------------------------------------------------------------------------------------------------------
 
 

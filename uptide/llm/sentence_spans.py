@@ -1,7 +1,10 @@
 """Substring deduplication by sliding sentence spans.
 
 Texts are cut into sentences; every run of ``span`` consecutive sentences is hashed after folding case and white space
-(a text with fewer sentences is one run). Runs of fewer than ``min_words`` words are too common to count and are left out.
+(a text with fewer sentences is one run). A character of a script without spaces counts as a word. Runs of fewer than
+``min_words`` words are too common to count: with ``every``, as the query has it, such a run is lengthened until it has
+the words, and runs of fewer than ``span`` sentences are hashed as well once they have ``long_words`` words; without, they
+are left out. A text that has too few words as a whole is no run.
 The hashes are joined globally: the first occurrence, by document id and place, stays; sentences covered by any
 other occurrence are removed. A run that repeats within one document is a repeat like any other.
 
@@ -16,6 +19,7 @@ of them are treated alike; a null id comes before all others; an empty table giv
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 import xxhash
@@ -25,8 +29,13 @@ from uptide.llm.common import map_batches
 
 SPAN = 3
 MIN_WORDS = 12
-#: A sentence ends after .!? and closing marks before white space, or at a line end.
-END = re.compile(r"[.!?…。！？][\"'”’)\]]*(?=\s)|\n+")
+#: A run of one or two sentences counts from so many words on.
+LONG_WORDS = 25
+#: A sentence ends after .!? and closing marks before white space, after CJK stops and closing marks, or at a line end.
+END = re.compile(r"[.!?…][\"'”’)\]]*(?=\s)|[。！？｡][\"'”’)\]」』）】》]*|\n+")
+#: Thai, Lao, Myanmar, Khmer, kana and Han, which are written without spaces.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+UNSPACED, WORD = re.compile(f"[{_UNSPACED}]"), re.compile(f"[{_UNSPACED}]|[^\\s{_UNSPACED}]+")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -47,38 +56,48 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return bounds
 
 
-def runs(text: str, span: int = SPAN, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """(hash, first sentence) of each run long enough."""
+def runs(text: str, span: int = SPAN, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS, every: bool = False) -> list[tuple[int, int, int]]:
+    """(hash, first sentence, sentences) of each run long enough."""
     folded = [text[a:b].lower().split() for a, b in sentences(text)]
     if not folded:
         return []
-    n, out = max(1, len(folded) - span + 1), []
     joined, sizes = [" ".join(f) for f in folded], [len(f) for f in folded]
-    for i in range(n):
-        if sum(sizes[i : i + span]) >= min_words:
-            h = xxhash.xxh64_intdigest(" ".join(joined[i : i + span]).encode("utf-8", "surrogatepass"), 11)
-            out.append((h - (1 << 64) if h >= 1 << 63 else h, i))
+    if UNSPACED.search(text):
+        sizes = [len(WORD.findall(j)) for j in joined]
+    ends, out = [0], []
+    for size in sizes:
+        ends.append(ends[-1] + size)
+    last = len(folded)
+    for i in range(last):
+        lengths = [n for n in range(1, min(span, last - i + 1)) if ends[i + n] - ends[i] >= long_words] if every else []
+        end = last if not i else i + span
+        end = max(min(end, i + span), bisect_left(ends, ends[i] + min_words) if every else 0)
+        if end <= last and ends[end] - ends[i] >= min_words:
+            lengths.append(end - i)
+        for n in dict.fromkeys(lengths):
+            h = xxhash.xxh64_intdigest(" ".join(joined[i : i + n]).encode("utf-8", "surrogatepass"), 11)
+            out.append((h - (1 << 64) if h >= 1 << 63 else h, i, n))
     return out
 
 
-def span_hashes(docs: DataFrame, span: int, min_words: int) -> DataFrame:
-    """``doc_id, hash, at``: every run of every document."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("h", T.ArrayType(T.LongType())), T.StructField("i", T.ArrayType(T.IntegerType()))])
+def span_hashes(docs: DataFrame, span: int, min_words: int, long_words: int, every: bool) -> DataFrame:
+    """``doc_id, hash, at, n``: every run of every document."""
+    numbers = [T.StructField("h", T.ArrayType(T.LongType())), T.StructField("i", T.ArrayType(T.IntegerType())), T.StructField("n", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([docs.schema["doc_id"], *numbers])
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [runs(t or "", span, min_words) for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([[h for h, _ in r] for r in rows], pa.list_(pa.int64())), pa.array([[i for _, i in r] for r in rows], pa.list_(pa.int32()))],
-            names=schema.names,
-        )
+        rows = [runs(t or "", span, min_words, long_words, every) for t in batch.column("text").to_pylist()]
+        columns = [pa.array([[x[c] for x in r] for r in rows], pa.list_(t)) for c, t in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=schema.names)
 
-    return map_batches(docs, hashed, schema).select("doc_id", F.explode(F.arrays_zip("h", "i")).alias("r")).select("doc_id", F.col("r.h").alias("hash"), F.col("r.i").alias("at"))
+    exploded = map_batches(docs, hashed, schema).select("doc_id", F.explode(F.arrays_zip("h", "i", "n")).alias("r"))
+    return exploded.select("doc_id", F.col("r.h").alias("hash"), F.col("r.i").alias("at"), F.col("r.n").alias("n"))
 
 
-def dedup_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS, every: bool = False) -> DataFrame:
     """``doc_id, n_sentences, removed, kept_text``: removed lists the sentences taken out, by number."""
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    spans = span_hashes(given, span, min_words)
+    spans = span_hashes(given, span, min_words, long_words, every)
     # First occurrence and count per run; only runs found twice go on.
     first = (
         spans.groupBy("hash")
@@ -90,7 +109,7 @@ def dedup_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         spans.join(first, "hash")
         .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))))
         .groupBy("doc_id")
-        .agg(F.collect_set("at").alias("starts"))
+        .agg(F.collect_set(F.struct("at", "n")).alias("starts"))
     )
     joined = given.alias("d").join(repeats.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")), "left").select("d.doc_id", "d.text", "r.starts")
     schema = T.StructType(
@@ -101,7 +120,7 @@ def dedup_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         rows = []
         for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist(), strict=True):
             parts = sentences(text or "")
-            gone = sorted({j for i in starts or () for j in range(i, min(i + span, len(parts)))})
+            gone = sorted({j for r in starts or () for j in range(r["at"], min(r["at"] + r["n"], len(parts)))})
             out = set(gone)
             rows.append((len(parts), gone, text if not gone else "".join(text[a:b] for j, (a, b) in enumerate(parts) if j not in out)))
         arrays = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.string())]
