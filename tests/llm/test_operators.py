@@ -214,6 +214,16 @@ def test_pii_field_finds_unseen_forms():
     assert pii.added_spans(field, "version 3.4.5 of 2021-04-05 and 17 more", []) == []
 
 
+def test_pii_scores_every_seed_form_without_digits_in_either_case():
+    field = pii.fit([pii.seed_zone(s) for s in pii.SEEDS] * 4)
+    forms = [re.sub(r"[{}]|email:", "", s) for s in pii.SEEDS if "{email:" in s and "@" not in s]
+    gold = [re.search(r"\{email:([^}]*)\}", s)[1] for s in pii.SEEDS if "{email:" in s and "@" not in s]
+    forms += ["please ask anna [AT] host [DOT] org about it", "please ask bob AT mail DOT net about it"]
+    for text, want in zip(forms, [*gold, "anna [AT] host [DOT] org", "bob AT mail DOT net"], strict=True):
+        assert [text[a:b] for _, a, b in pii.added_spans(field, text, [])] == [want]
+    assert pii.added_spans(field, "we met at lunch.Then we left; look at example.org or ask at Acme.Inc", []) == []
+
+
 def test_pii_sums_match_enumeration():
     """Forward-backward over all segmentations, counted one by one."""
     rnd = np.random.default_rng(1)

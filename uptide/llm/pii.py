@@ -48,9 +48,9 @@ MAX_DOCUMENTS, MAX_ZONES = 20_000, 240
 EPOCHS = 12
 LEAST = 0.9
 
-TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]|\sat\s(?=\S+(?:\s+dot\s|\s*[\[(]dot))")
+TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]|\sat\s(?=\s*\S+\s+dot\s|\s*\S+\s*[\[(]dot|\s*[^\s.]+\.[^\W_])", re.I)
 WORD = re.compile(r"\S+")
-ACTIVE = re.compile(r"[0-9@]|^[\[(]?(?:at|dot)[\])]?$")
+ACTIVE = re.compile(r"[0-9@]|^[\[(]?(?:at|dot)[\])]?$", re.I)
 EDGE = ".,;:!?\"'“”‘’"
 
 #: Seed zones: kind spans marked by braces. They teach forms that a sample may lack.
