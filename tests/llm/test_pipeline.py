@@ -10,7 +10,7 @@ from uptide.llm import mixing, pieces, queries, secrets, simhash, toxicity
 
 
 def test_every_operator_is_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
 
 
 def test_stages_keep_columns_and_their_decisions(spark, sf):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from uptide.llm import ann, mixing, pieces, pii, quality, secrets, sentence_spans, simhash, suffix_dedup, toxicity
+from uptide.llm import ann, decontaminate, mixing, periodic_runs, pieces, pii, prefix_trie, quality, secrets, sentence_spans, simhash, suffix_dedup, toxicity
 from uptide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": lambda spark, sf_dir: ann.search(table(spark, sf_dir, "embeddings")),
     "op9_secrets": lambda spark, sf_dir: secrets.secret_report(table(spark, sf_dir, "documents")),
     "op10_sentence_spans": lambda spark, sf_dir: sentence_spans.span_report(table(spark, sf_dir, "documents"), every=True),
+    "op11_decontamination": lambda spark, sf_dir: decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op12_periodic_runs": lambda spark, sf_dir: periodic_runs.run_report(table(spark, sf_dir, "documents")),
+    "op13_prefix_trie": lambda spark, sf_dir: prefix_trie.trie_report(table(spark, sf_dir, "conversations")),
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_decontamination": decontaminate.SQL, "op13_prefix_trie": prefix_trie.SQL}
