@@ -231,7 +231,7 @@ def test_stream_equals_batch_and_survives_a_retry(spark, raw, tmp_path):
     # the same batch delivered again replaces its own folder
     again = found.filter("order_id = 77")
     for _ in range(2):
-        ingest.store_new_rows(again.withColumn("order_id", again.order_id + 1000), 99, target, keys, "prod_ts")
+        ingest.store_batch(again.withColumn("order_id", again.order_id + 1000), 99, target)
     assert ingest.read_ingested(spark, target, found.schema).filter("order_id = 1077").count() == 1
 
 

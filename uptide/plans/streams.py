@@ -50,6 +50,35 @@ def stream_monthly(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.monthly_from_partials(spark, daily, entity="user_id", compound="event_type")
 
 
+WAVES = 10
+
+
+@query(
+    "stream_waves",
+    """SELECT user_id, strftime(date_trunc('month', ts), '%Y-%m-%d') AS mes, event_type, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS qtd,
+  count(*) AS registros, count(DISTINCT CAST(ts AS DATE)) AS dias, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM events GROUP BY 1, 2, 3""",
+)
+def stream_waves(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that arrive in waves, each with the wave before it again, dated 40 days later: only the first arrival counts.
+
+    The batches' daily sums are merged in levels of four, so parts of two levels answer.
+    """
+    root = shared_folder(spark, "waves")
+    events = a.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    wave = F.pmod("event_id", F.lit(WAVES))
+    again = events.withColumn("ts", F.expr("ts + INTERVAL 40 DAYS")).withColumn("cents", F.col("cents") + 1)
+    for w in range(WAVES):
+        events.filter(wave == w).unionByName(again.filter(wave == w - 1)).write.parquet(f"{root}/source/wave-{w}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/source/*")
+        partials = ingest.daily_partials(f"{root}/daily", entity="user_id", ts="ts", compound="event_type", quantity="cents", fanout=4)
+        ingest.start_ingestion(
+            stream, target=f"{root}/table", checkpoint=f"{root}/checkpoint", keys=KEYS, ts="ts", after=partials, poll_seconds=None
+        ).awaitTermination()
+    total = ingest.read_ingested(spark, f"{root}/table", events.schema).agg(F.count(F.lit(1)))
+    months = ingest.monthly_from_partials(spark, f"{root}/daily", entity="user_id", compound="event_type")
+    return months.select("*", total.scalar().alias("total"))
+
+
 @query("input_listing")
 def input_listing(spark: SparkSession, sf: str) -> DataFrame:
     return listing.list_files(spark, sf).select("category", "name", "size")

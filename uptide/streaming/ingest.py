@@ -8,16 +8,17 @@ recomputes in batch.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from uptide import schema
-from uptide.operators.clean import drop_key_duplicates
 from uptide.operators.incremental import detect_changes, has_changes
 from uptide.sources.listing import file_snapshot
 from uptide.sources.readers import CELLS, cells
+from uptide.streaming import levels
 
 POLL_SECONDS = 300
 
@@ -35,36 +36,76 @@ def production_stream(
     return cells(reader.csv(folder))
 
 
-#: Folders that the stored keys are spread over. Fixed for the life of a table: a key stays in its bucket.
-KEY_BUCKETS = 64
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _existing(spark: SparkSession, target: str, columns: T.StructType, batch_id: int) -> DataFrame:
-    """Rows stored by other batches than this one; empty before the first batch."""
-    layout = T.StructType([*columns.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(layout).option("basePath", target).parquet(target).filter(F.col("batch_id") != batch_id)
+@contextmanager
+def _state_settings(spark: SparkSession) -> Iterator[None]:
+    """State of queries started inside lies in RocksDB, on disk, and a batch saves its changes only."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def store_new_rows(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str], ts: str) -> DataFrame:
-    """Write the batch's rows with unseen keys into the batch's own folder, replacing it on a retry.
+def first_rows(stream: DataFrame, keys: Sequence[str], ts: str, expiry: str | None = None) -> DataFrame:
+    """Rows whose key no earlier batch has brought; of copies within a batch the least by ``ts``, then the other columns.
 
-    A key is unseen if no other batch has stored it, whatever its time. Stored rows lie in folders by key bucket, of
-    which the look-up reads the key columns only. Retrying a batch gives the same table.
+    The keys are remembered in the stream's state store, by key, so a batch looks up its own keys only. Each key's state
+    holds its first row, by batch time and order, and the time of the last batch that brought it; equal times mean a new
+    key. Copies of a batch combine in the map tasks. Output mode ``update``.
+
+    With ``expiry`` ("90 days") a key is forgotten once the stream is so far beyond its ``ts``; rows that come even later
+    are dropped, and of differing copies within a batch any one may stay.
     """
-    spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
-    rows = drop_key_duplicates(batch, keys, [ts]).withColumn("bucket", bucket)
-    old = _existing(spark, target, batch.schema, batch_id)
-    known = old.select(F.col("bucket").alias("__bucket"), *[F.col(k).alias(f"__{k}") for k in keys])
-    same = F.col("bucket") == F.col("__bucket")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    fresh = rows.join(known, same, "left_anti")
+    if expiry:
+        return stream.withWatermark(ts, expiry).dropDuplicatesWithinWatermark(list(keys))
+    rest = [c for c in dict.fromkeys([ts, *stream.columns]) if c not in keys]
+    seen = stream.withColumn("__at", F.current_timestamp()).groupBy(*keys)
+    first = seen.agg(F.min(F.struct("__at", *rest)).alias("__row"), F.max("__at").alias("__last")).filter("__row.__at = __last")
+    return first.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in stream.columns])
+
+
+def store_batch(batch: DataFrame, batch_id: int, target: str) -> DataFrame:
+    """Write a batch into its own folder, replacing it on a retry, and read it back."""
     path = f"{target}/batch_id={batch_id}"
-    # The copies of a bucket meet before the write, so a batch leaves a file per bucket at most.
-    fresh.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
-    stored = T.StructType([*batch.schema.fields, T.StructField("bucket", T.IntegerType())])
-    return spark.read.schema(stored).parquet(path)
+    batch.hint("rebalance").write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
+
+
+class Ingestion:
+    """Streams that run one after another: each reads what the one before it wrote."""
+
+    def __init__(self, starts: Sequence[Callable[[], StreamingQuery]], together: bool):
+        self._waiting = list(starts)
+        self.queries: list[StreamingQuery] = []
+        self._start(len(self._waiting) if together else 1)
+
+    def _start(self, n: int) -> None:
+        for _ in range(n):
+            self.queries.append(self._waiting.pop(0)())
+
+    def awaitTermination(self, timeout: float | None = None) -> bool:
+        """Wait for all streams, starting the next when the one before it has ended; seconds apply to each."""
+        at = 0
+        while at < len(self.queries):
+            ended = self.queries[at].awaitTermination(timeout) if timeout else (self.queries[at].awaitTermination(), True)[1]
+            if not ended:
+                return False
+            if self._waiting:
+                self._start(1)
+            at += 1
+        return True
+
+    def stop(self) -> None:
+        self._waiting.clear()
+        for q in self.queries:
+            q.stop()
 
 
 def start_ingestion(
@@ -77,48 +118,71 @@ def start_ingestion(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     after: Callable[[DataFrame, int], None] | None = None,
     poll_seconds: int | None = POLL_SECONDS,
-) -> StreamingQuery:
-    """Deduplicate every micro-batch against the table and append it.
+    expiry: str | None = None,
+) -> Ingestion:
+    """Append the rows with new keys (:func:`first_rows`) to the table at ``target``.
 
-    ``poll_seconds=None`` processes what is there and stops. ``after`` gets the stored rows
-    of each batch, for incremental aggregates. ``prepare`` makes records of each batch.
+    ``poll_seconds=None`` processes what is there and stops. ``after`` gets the stored rows of each batch, for incremental
+    aggregates. ``prepare`` makes records of each batch of the source, such as production rows of a file's cells: it runs
+    in a stream of its own, whose records the second stream reads as they appear and then removes.
     """
     spark = stream.sparkSession
     spark.createDataFrame([], "ready int").write.mode("append").parquet(f"{target}/_layout")
+    trigger = {"availableNow": True} if poll_seconds is None else {"processingTime": f"{poll_seconds} seconds"}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = store_new_rows(prepare(batch) if prepare else batch, batch_id, target, keys, ts)
+        stored = store_batch(batch, batch_id, target)
         if after:
             after(stored, batch_id)
 
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if poll_seconds is None else {"processingTime": f"{poll_seconds} seconds"}
-    return writer.trigger(**trigger).start()
+    def start_table(records: DataFrame, state: str) -> StreamingQuery:
+        rows = first_rows(records, keys, ts, expiry)
+        writer = rows.writeStream.outputMode("append" if expiry else "update").foreachBatch(write)
+        with _state_settings(spark):
+            return writer.option("checkpointLocation", state).trigger(**trigger).start()
+
+    if not prepare:
+        return Ingestion([lambda: start_table(stream, checkpoint)], True)
+
+    columns = prepare(spark.createDataFrame([], stream.schema)).schema
+    records = f"{checkpoint}/records"
+    spark.createDataFrame([], columns).write.mode("overwrite").parquet(f"{records}/batch-none")
+
+    def start_records() -> StreamingQuery:
+        def keep(batch: DataFrame, batch_id: int) -> None:
+            prepare(batch).write.mode("overwrite").parquet(f"{records}/batch-{batch_id}")
+
+        return stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{checkpoint}/source").trigger(**trigger).start()
+
+    def start_rows() -> StreamingQuery:
+        source = spark.readStream.schema(columns).option("cleanSource", "delete").parquet(f"{records}/*")
+        return start_table(source, f"{checkpoint}/rows")
+
+    return Ingestion([start_records, start_rows], poll_seconds is not None)
 
 
 def read_ingested(spark: SparkSession, target: str, columns: T.StructType) -> DataFrame:
-    return _existing(spark, target, columns, -1).drop("bucket", "batch_id")
+    """The table; empty before the first batch."""
+    layout = T.StructType([*columns.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(layout).option("basePath", target).parquet(target).filter(F.col("batch_id").isNotNull()).drop("batch_id")
+
 
+DAILY_TOTALS = ["qtd", "registros"]
 
-def daily_partials(target: str, *, entity: str, ts: str, compound: str, quantity: str) -> Callable[[DataFrame, int], None]:
-    """Hook for :func:`start_ingestion`: daily sums of each batch's new rows, in the batch's own folder."""
+
+def daily_partials(target: str, *, entity: str, ts: str, compound: str, quantity: str, fanout: int = levels.FANOUT) -> Callable[[DataFrame, int], None]:
+    """Hook for :func:`start_ingestion`: daily sums of each batch's new rows, kept in levels."""
 
     def write(stored: DataFrame, batch_id: int) -> None:
-        sums = stored.groupBy(entity, F.to_date(ts).alias("day"), compound).agg(
-            F.sum(quantity).alias("qtd"), F.count(F.lit(1)).alias("registros")
-        )
-        sums.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        days = stored.select(entity, F.to_date(ts).alias("day"), compound, F.col(quantity).alias("qtd"), F.lit(1).cast("long").alias("registros"))
+        levels.add_batch(days, batch_id, target, [entity, "day", compound], DAILY_TOTALS, fanout)
 
     return write
 
 
 def monthly_from_partials(spark: SparkSession, target: str, *, entity: str, compound: str) -> DataFrame:
     """Monthly table from the daily sums of all batches; only sums are read, never the records."""
-    days = (
-        spark.read.parquet(target)
-        .groupBy(entity, "day", compound)
-        .agg(F.sum("qtd").alias("qtd"), F.sum("registros").alias("registros"))
-    )
+    days = levels.read_sums(spark, target, [entity, "day", compound], DAILY_TOTALS)
     return days.groupBy(entity, F.trunc("day", "month").alias("mes"), compound).agg(
         F.sum("qtd").alias("qtd"), F.sum("registros").alias("registros"), F.count("day").alias("dias")
     )
