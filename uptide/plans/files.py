@@ -8,7 +8,7 @@ from uptide import schema
 from uptide.plans import adapters as a
 from uptide.plans.registry import query
 from uptide.session import shared_folder
-from uptide.sources import listing, readers, sinks
+from uptide.sources import readers, sinks, snapshots
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,7 +77,79 @@ def production_files(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("entity", "prod_ts", "order_id", "product", "qty_produced", "qty_scrapped", "compound")
 
 
-@query("file_snapshot")
+# Columns of the given tables, i whole numbers, s text, d fractions, t timestamps, v lists of fractions.
+TABLE_COLUMNS = {
+    "region": "i r_regionkey, s r_name",
+    "nation": "i n_nationkey, s n_name, i n_regionkey",
+    "customer": "i c_custkey, s c_name, i c_nationkey, d c_acctbal, s c_mktsegment",
+    "supplier": "i s_suppkey, s s_name, i s_nationkey, d s_acctbal",
+    "part": "i p_partkey, s p_name, s p_brand, s p_type, i p_size, d p_retailprice",
+    "orders": "i o_orderkey, i o_custkey, s o_orderstatus, d o_totalprice, t o_orderdate, s o_orderpriority",
+    "lineitem": "i l_orderkey, i l_partkey, i l_suppkey, i l_linenumber, d l_quantity, d l_extendedprice, d l_discount, d l_tax, s l_returnflag, s l_linestatus, t l_shipdate",
+    "events": "i event_id, t ts, i user_id, s event_type, d value, s props",
+    "documents": "i doc_id, s text, s lang, s source, i n_chars",
+    "embeddings": "i vec_id, v embedding, i label",
+    "pages": "i page_id, s url, s html",
+    "benchmark": "i item_id, s text",
+    "labels": "i doc_id, i quality, i toxic",
+    "conversations": "i conv_id, i turn, s role, s text",
+}
+
+
+def _columns(table: str) -> list[tuple[str, str]]:
+    return [(c[0], c[2:]) for c in TABLE_COLUMNS[table].split(", ")]
+
+
+def _table_digest_sql(table: str) -> str:
+    number = "CAST(CAST(floor(CAST({} AS DOUBLE) * 10000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS VARCHAR)"
+    text = {
+        "i": "CAST({} AS VARCHAR)", "s": "{}", "t": "CAST(epoch_us({}) AS VARCHAR)", "d": number,
+        "v": f"array_to_string(list_transform({{}}, lambda x: coalesce({number.format('x')}, '')), ',')",
+    }
+    cells = [text[kind].format(name) for kind, name in _columns(table)]
+    row = " || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in cells)
+    return f"SELECT '{table}' AS name, CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT) AS h FROM {table}"
+
+
+@query(
+    "file_snapshot",
+    f"""WITH h AS ({" UNION ALL ".join(_table_digest_sql(t) for t in TABLE_COLUMNS)}),
+b AS (SELECT name, h % 256 AS bucket, count(*) AS n, sum(h) AS digest FROM h GROUP BY 1, 2)
+SELECT name, CAST(sum(n) AS BIGINT) AS n_rows, md5(string_agg(bucket || ':' || n || ':' || digest, ',' ORDER BY bucket)) AS hash FROM b GROUP BY name""",
+)
 def file_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """Name, size and content hash of the given tables' files."""
-    return listing.file_snapshot(spark, sf).select("category", "name", "size", "hash")
+    """Rows and content hash of each given table, the same however its rows are split into files."""
+    digests = None
+    for name in TABLE_COLUMNS:
+        rows = a.table(spark, sf, name).select(*[c for _, c in _columns(name)])
+        one = snapshots.bucket_digests(rows, F.lit(name), snapshots.portable_row_hash(rows))
+        digests = one if digests is None else digests.unionByName(one)
+    return snapshots.file_hashes(digests).withColumnRenamed("file", "name")
+
+
+CHANGED = "l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_suppkey AS BIGINT) AS l_suppkey, CAST(l_quantity AS BIGINT) AS l_quantity, l_returnflag"
+
+
+@query(
+    "table_changes",
+    f"""WITH old AS (SELECT {CHANGED} FROM lineitem),
+new AS (SELECT * REPLACE (CASE WHEN l_orderkey % 89 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity) FROM old WHERE l_orderkey % 97 <> 0),
+d AS (SELECT 'removed' AS side, * FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new) UNION ALL SELECT 'added', * FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old))
+SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, l_returnflag, side, count(*) AS copies FROM d GROUP BY ALL""",
+)
+def table_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that differ between two versions of lineitem, whose unequal buckets alone are compared row by row."""
+    root = shared_folder(spark, "versions")
+    old = a.table(spark, sf, "lineitem").selectExpr("l_orderkey", "CAST(l_linenumber AS BIGINT) l_linenumber", "l_suppkey", "CAST(l_quantity AS BIGINT) l_quantity", "l_returnflag")
+    quantity = F.when(F.col("l_orderkey") % 89 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    new = old.filter(F.col("l_orderkey") % 97 != 0).withColumn("l_quantity", quantity)
+    versions = []
+    # The order of a line decides its bucket, so that changed lines meet in few buckets.
+    key = F.xxhash64("l_orderkey")
+    for name, rows in (("old", old), ("new", new)):
+        rows.write.parquet(f"{root}/{name}")
+        table = spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+        digests = snapshots.bucket_digests(table, F.lit("lineitem"), snapshots.row_hash(table), 4096, key)
+        versions.append((table, (snapshots.file_hashes(digests), digests)))
+    (before, was), (after, now) = versions
+    return snapshots.changed_rows(before, after, snapshots.changed_buckets(was, now), key, 4096)

@@ -1,7 +1,9 @@
-"""Listings of input files: categories, newest file, content snapshot, report versions."""
+"""Listings of input files: categories, newest file, report versions."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from uptide.functions.scalar import report_version
@@ -18,12 +20,8 @@ OTHER_CATEGORY = "outros"
 FIRST_REPORT_VERSION = 5
 
 
-def list_files(spark: SparkSession, *folders: str, pattern: str = "*") -> DataFrame:
-    """``category, name, path, size, modified`` of all files below the folders; contents are not read."""
-    return _listed(spark, folders, pattern)
-
-
-def _listed(spark: SparkSession, folders: tuple[str, ...], pattern: str, *more: Column) -> DataFrame:
+def list_files(spark: SparkSession, *folders: str, pattern: str = "*", more: Sequence[Column] = ()) -> DataFrame:
+    """``category, name, path, size, modified`` and ``more`` of all files below the folders; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -56,11 +54,6 @@ def newest_file(files: DataFrame, *patterns: str) -> DataFrame:
     ).select("f.path", "f.name", "f.size", "f.modified")
 
 
-def file_snapshot(spark: SparkSession, *folders: str, pattern: str = "*") -> DataFrame:
-    """Listing with the MD5 of every file, in one scan. One file is one row, so inputs above 2 GB do not fit."""
-    return _listed(spark, folders, pattern, F.md5("content").alias("hash"))
-
-
 def next_report_version(files: DataFrame, suffix: str = "") -> DataFrame:
     """One row: ``R<highest version + 1>``, or the first version when no report exists."""
     highest = F.max(report_version(F.regexp_replace("name", r"\.[^.]*$", "")))

@@ -7,17 +7,18 @@ recomputes in batch.
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from uptide import schema
-from uptide.operators.incremental import detect_changes, has_changes
-from uptide.sources.listing import file_snapshot
+from uptide.operators.incremental import has_changes
+from uptide.session import stored
+from uptide.sources.manifest import Manifest
 from uptide.sources.readers import CELLS, cells
+from uptide.sources.snapshots import content_snapshot, snapshot_changes
 from uptide.streaming import levels
 
 POLL_SECONDS = 300
@@ -193,19 +194,25 @@ def refresh_if_changed(
 ) -> bool:
     """Run a batch job when the input files differ from the stored snapshot; store the new one on success.
 
-    Snapshots are kept as versions under ``state``; a failing ``run`` leaves the last one
-    in place. Returns whether the job ran.
+    Snapshots are kept as versions under ``state``; a failing ``run`` leaves the last one in place. Files of equal size and
+    time are not read again, unless forced. Returns whether the job ran.
     """
-    versions = T.StructType([*schema.SNAPSHOT.fields, T.StructField("version", T.LongType())])
-    spark.createDataFrame([], "ready int").write.mode("append").parquet(f"{state}/_layout")
-    stored = spark.read.schema(versions).option("basePath", state).parquet(state)
-    latest = stored.agg(F.max("version")).first()[0]
-    old = stored.filter(F.col("version") == (latest if latest is not None else -1)).drop("version")
-    current = file_snapshot(spark, folder)
-    changes = detect_changes(old, current)
+    manifest = Manifest(spark, state)
+    version, entries = manifest.latest()
+    old = None
+    if entries:
+        where = f"{state}/{entries[0]['path']}"
+        old = spark.read.parquet(f"{where}/files"), spark.read.parquet(f"{where}/buckets")
+    files, buckets = content_snapshot(spark, folder, previous=None if force else old)
+    files = stored(files, "snapshot")
+    nothing = spark.createDataFrame([], files.schema)
+    changes = snapshot_changes(old[0] if old else nothing, files)
     if not force and not has_changes(changes):
         return False
     run(changes)
-    version = max(time.time_ns() // 1_000_000, (latest or 0) + 1)
-    current.write.parquet(f"{state}/version={version}")
+    part = f"part-{uuid.uuid4().hex}"
+    files.write.parquet(f"{state}/{part}/files")
+    buckets.write.parquet(f"{state}/{part}/buckets")
+    manifest.commit(version + 1, [{"path": part}])
+    manifest.vacuum()
     return True
