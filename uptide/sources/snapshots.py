@@ -111,4 +111,6 @@ def changed_rows(old: DataFrame, new: DataFrame, buckets: DataFrame, hash_: Colu
 
 def snapshot_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """New, modified and removed files between two snapshots' files, by path."""
-    return detect_changes(*[f.select("category", F.col("file").alias("name"), "hash") for f in (old, new)]).withColumn("name", F.element_at(F.split("name", "/"), -1))
+    changes = detect_changes(*[f.select("category", F.col("file").alias("name"), "hash") for f in (old, new)])
+    # The paths of files are URIs.
+    return changes.withColumn("name", F.url_decode(F.replace(F.element_at(F.split("name", "/"), -1), F.lit("+"), F.lit("%2B"))))
