@@ -1,10 +1,15 @@
+import math
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from uptide.functions.quantiles import exact_quantiles
 from uptide.operators import profile
+from uptide.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +45,8 @@ def test_correlations(df, frame):
     assert [r.feature for r in profile.target_correlations(df, "y", top=2).collect()] == sorted(
         ["x", "z"], key=lambda c: -abs(expected.loc[c, "y"])
     )
-    assert [r.feature_y for r in profile.feature_pairs(df, ["x", "y", "z"], pairs=2).collect()] == ["y", "z"]
+    pairs = {(r.feature_x, r.feature_y): r["corr"] for r in profile.feature_pairs(df, ["x", "y", "z"]).collect()}
+    assert pairs == {p: pytest.approx(expected.loc[p]) for p in (("x", "y"), ("x", "z"), ("y", "z"))}
 
 
 def test_outliers_and_box(spark):
@@ -91,3 +97,52 @@ def test_balance_and_insights(spark):
     assert rows(profile.category_balance(df, ["c"])) == [("c", "a", 9, 0.9, 1)]
     kinds = {(r.kind, r.column) for r in profile.insights(df, ["x"], ["c"], "y").collect()}
     assert {("registros", "*"), ("correlacao_forte", "x"), ("desbalanceada", "c=a"), ("target_media", "y")} <= kinds
+
+
+def test_many_columns_with_gaps_in_one_pass(spark):
+    rnd = np.random.default_rng(3)
+    k = 60
+    table = rnd.normal(1e6, 1.0, (400, k)) + rnd.normal(0, 1, (400, 1))
+    table[rnd.random((400, k)) < 0.2] = np.nan
+    frame = pd.DataFrame(table, columns=[f"c{i}" for i in range(k)])
+    frame["c5"] = frame["c5"].where(frame["c5"].isna(), 0.1)
+    frame["c6"] = np.nan
+    data = [tuple(None if np.isnan(v) else float(v) for v in r) for r in frame.to_numpy()]
+    df = spark.createDataFrame(data, ", ".join(f"c{i} double" for i in range(k))).repartition(6)
+    found = profile.feature_pairs(df, df.columns)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("MapInArrow") == 1 and text.count("regr_") == 0
+    got = {(r.feature_x, r.feature_y): r["corr"] for r in found.collect()}
+    expected = frame.corr()
+    assert len(got) == k * (k - 1) // 2
+    for (a, b), v in got.items():
+        if {a, b} & {"c5", "c6"}:
+            assert v is None
+        else:
+            assert v == pytest.approx(expected.loc[a, b], abs=1e-8)
+
+
+def test_no_number_gives_no_number(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, float("nan"), 3.0), (3.0, 1.0, 2.0)], "a double, b double, c double")
+    got = {(r.feature_x, r.feature_y): r["corr"] for r in profile.feature_pairs(df, ["a", "b", "c"]).collect()}
+    assert math.isnan(got["a", "b"]) and math.isnan(got["b", "c"]) and got["a", "c"] == pytest.approx(0.5)
+    assert [r["corr"] for r in profile.feature_pairs(df.limit(0), ["a", "b"]).collect()] == [None]
+
+
+def test_quantiles_within_groups(spark):
+    rnd = random.Random(8)
+    data = [(rnd.choice(["a", "a", "a", "b", None]), rnd.choice([None, rnd.randrange(30) / 4, rnd.gauss(0, 1)]), rnd.random()) for _ in range(3000)] + [("only", None, 1.0)]
+    df = spark.createDataFrame(data, "g string, v double, w double").repartition(5)
+    got = {(r.g, r["column"], r.probability): r["value"] for r in exact_quantiles(df, ["v", "w"], [0.1, 0.5, 0.99], by=["g"], accuracy=50).collect()}
+    assert len(got) == 21
+    for (g, c, p), value in got.items():
+        values = [r[1 if c == "v" else 2] for r in data if r[0] == g and r[1 if c == "v" else 2] is not None]
+        assert value == pytest.approx(float(np.quantile(values, p)))
+    box = {r.band: r for r in profile.boxplot_by_quartile(df, "v", "w").collect()}
+    assert sum(r.n for r in box.values()) == sum(r[1] is not None for r in data)
+
+
+def test_quantile_plans_stay_small(spark, sf):
+    for name in ("boxplot_by_quartile", "entity_statistics", "iqr_outliers", "describe_numeric"):
+        text = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan") < 20

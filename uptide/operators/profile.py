@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from uptide.functions.moments import correlations
 from uptide.functions.prefix import running_totals
 from uptide.functions.quantiles import exact_quantiles, with_quantiles
 
@@ -63,62 +62,35 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-#: Pairs whose co-moments one pass over the rows collects.
-PAIRS_A_PASS = 60
-
-
-def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Pearson correlation per pair, over rows where both are present; NULL for a constant side.
-
-    The co-moments of all pairs are aggregates over the untouched rows: a few numbers per task, whatever the rows.
-    ``corr`` would raise on a constant under ANSI.
-    """
-
-    def one(x: str, y: str) -> Column:
-        a, b = F.col(x).cast("double"), F.col(y).cast("double")
-        corr = F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
-        return F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), corr.alias("corr"))
-
-    parts = [pairs[i : i + PAIRS_A_PASS] for i in range(0, len(pairs), PAIRS_A_PASS)]
-    passes = [df.agg(F.array(*[one(x, y) for x, y in part]).alias("p")).select(F.inline("p")) for part in parts]
-    return reduce(DataFrame.unionByName, passes)
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Full matrix in long form; each pair is computed once, all in one pass over the data. NULL for a constant side."""
+    upper = correlations(df, list(columns or numeric_columns(df)))
+    one, other = F.struct("x", "y", "corr"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col("corr"))
+    mirrored = F.when(F.col("x") == F.col("y"), F.array(one)).otherwise(F.array(one, other))
+    return upper.select(F.inline(mirrored)).withColumnsRenamed({"x": "feature_x", "y": "feature_y"})
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Full matrix in long form; each pair is computed once, in one aggregation over the data."""
-    columns = list(columns or numeric_columns(df))
-    upper = _pairs(df, [*combinations(columns, 2), *[(c, c) for c in columns]])
-    mirrored = F.when(
-        F.col("feature_x") == F.col("feature_y"), F.array(F.struct("feature_x", "feature_y", "corr"))
-    ).otherwise(
-        F.array(
-            F.struct("feature_x", "feature_y", "corr"),
-            F.struct(F.col("feature_y").alias("feature_x"), F.col("feature_x").alias("feature_y"), F.col("corr")),
-        )
-    )
-    return upper.select(F.inline(mirrored))
+def _with_target(df: DataFrame, target: str, columns: Sequence[str] | None) -> DataFrame:
+    """``feature, corr`` of the columns with the target."""
+    columns = [c for c in (columns or numeric_columns(df)) if c != target]
+    found = correlations(df, [*columns, target])
+    return found.filter((F.col("y") == target) & (F.col("x") != target)).select(F.col("x").alias("feature"), "corr")
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
     """Features by absolute correlation with the target, strongest first, and whether it exceeds 0.5; all, or the ``top``."""
-    columns = [c for c in (columns or numeric_columns(df)) if c != target]
-    rows = _pairs(df, [(c, target) for c in columns]).filter(F.col("corr").isNotNull())
-    ranked = rows.select(F.col("feature_x").alias("feature"), "corr", (F.abs("corr") > 0.5).cast("int").alias("forte")).orderBy(
-        F.abs("corr").desc(), "feature"
-    )
+    rows = _with_target(df, target, columns).filter(F.col("corr").isNotNull())
+    ranked = rows.select("feature", "corr", (F.abs("corr") > 0.5).cast("int").alias("forte")).orderBy(F.abs("corr").desc(), "feature")
     return ranked if top is None else ranked.limit(top)
 
 
 def strong_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None, above: float = 0.5) -> DataFrame:
-    columns = [c for c in (columns or numeric_columns(df)) if c != target]
-    return _pairs(df, [(c, target) for c in columns]).filter(F.abs("corr") > above).select(
-        F.col("feature_x").alias("feature"), "corr"
-    )
+    return _with_target(df, target, columns).filter(F.abs("corr") > above)
 
 
 def feature_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlations of all pairs of the columns, each once."""
-    return _pairs(df, list(combinations(columns, 2)))
+    return correlations(df, columns).filter(F.col("x") != F.col("y")).withColumnsRenamed({"x": "feature_x", "y": "feature_y"})
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, share: float = 0.05) -> DataFrame:
@@ -223,11 +195,17 @@ def boxplot_by_quartile(df: DataFrame, value: str, by: str) -> DataFrame:
     """Box-plot numbers of ``value`` within the four quartile bands of ``by``."""
     banded = with_quantiles(df.select(value, by), df, [by], [0.25, 0.5, 0.75])
     band = quartile_band(F.col(by).cast("double"), *[F.col(f"__q.q0_{k}") for k in range(3)])
-    wide = banded.select(
-        band.alias("band"),
-        *[F.when(band == label, F.col(value).cast("double")).alias(label) for label in QUARTILE_LABELS],
-    ).filter(F.col("band").isNotNull())
-    return boxplot(wide, list(QUARTILE_LABELS)).withColumnRenamed("column", "band").filter(F.col("n") > 0)
+    return boxplot_by_group(banded.select(F.col(value).cast("double").alias("v"), band.alias("band")).filter(F.col("band").isNotNull()), "v", "band")
+
+
+def boxplot_by_group(df: DataFrame, value: str, group: str) -> DataFrame:
+    """Box-plot numbers of ``value`` per ``group``, groups without a value left out."""
+    probabilities = [0.25, 0.5, 0.75]
+    long = exact_quantiles(df, [value], probabilities, by=[group])
+    picks = [F.max(F.when(F.col("probability") == p, F.col("value"))).alias(f"__p{k}") for k, p in enumerate(probabilities)]
+    quartiles = long.groupBy(F.col(group).alias("__group")).agg(*picks)
+    rows = df.select(group, F.col(value).cast("double").alias("__v")).join(quartiles, F.col(group).eqNullSafe(F.col("__group")))
+    return _box(rows.groupBy(group), F.col("__v"), F.col("__p0"), F.col("__p1"), F.col("__p2"))
 
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
