@@ -354,7 +354,13 @@ def test_suffix_dedup_of_nothing(empty):
     assert suffix_dedup.substring_report(empty).collect() == []
 
 
+def signed_hash(text):
+    h = xxhash.xxh64((text or "").encode(), seed=42).intdigest()
+    return h - (1 << 64) if h >> 63 else h
+
+
 def test_sentence_spans_match_brute_force(frame, docs, empty):
+    who_of = lambda d: (d[0] is not None, d[0] or 0, signed_hash(d[1]))
     occurrences = collections.defaultdict(list)
     parts = {}
     for d in {(d[0], d[1]) for d in docs}:
@@ -365,7 +371,7 @@ def test_sentence_spans_match_brute_force(frame, docs, empty):
         for i in range(max(1, len(cut) - 2) if cut else 0):
             run = folded[i : i + 3]
             if sum(len(f.split()) for f in run) >= sentence_spans.MIN_WORDS:
-                occurrences[" ".join(run)].append(((d[0] is not None, d[0] or 0), i))
+                occurrences[" ".join(run)].append((who_of(d), i))
     gone = collections.defaultdict(set)
     for places in occurrences.values():
         first = min(places)
@@ -375,7 +381,7 @@ def test_sentence_spans_match_brute_force(frame, docs, empty):
     want = []
     for d in docs:
         p = parts[(d[0], d[1])]
-        out = gone[(d[0] is not None, d[0] or 0)]
+        out = gone[who_of(d)]
         want.append((d[0], len(p), sum(j in out for j in range(len(p))), hashlib.sha256("".join(x for j, x in enumerate(p) if j not in out).encode()).hexdigest()))
     got = sentence_spans.span_report(frame).select("doc_id", "n_sentences", "n_removed", "kept_sha256")
     assert plain(got) == sorted(want, key=str)
@@ -405,6 +411,19 @@ def test_sentence_spans_of_few_long_short_and_unspaced_sentences(spark):
     assert [list(kept[i]["removed"]) for i in (0, 1, 10, 11, 20, 21, 30, 31)] == [[], [1], [], [1, 2], [], [1, 2, 3, 4, 5], [], [0, 1]]
 
 
+def test_sentence_spans_of_one_id_with_two_texts_and_of_short_texts(spark):
+    shared = "The first of three sentences here. The second of them follows now. And then the third one ends it."
+    unique = "Nothing like this is anywhere else at all. It stands alone among the rows. Nobody wrote it twice ever."
+    rows = [(1, shared, "en", "s", 0), (5, shared, "en", "s", 0), (5, unique, "en", "s", 0), (5, unique, "en", "s", 0), (7, "Just so.", "en", "s", 0), (8, "just  SO.", "en", "s", 0), (9, "Just so. And more.", "en", "s", 0)]
+    for share in (1.0, 0.0):  # without and with broadcast of frequent runs
+        sentence_spans.HOT_SHARE = share
+        try:
+            kept = sorted((r["doc_id"], r["kept_text"]) for r in queries_on(spark, "op10_sentence_spans", rows).collect())
+        finally:
+            sentence_spans.HOT_SHARE = 0.001
+        assert kept == [(1, shared), (5, ""), (5, unique), (5, unique), (7, "Just so."), (8, ""), (9, "Just so. And more.")]
+
+
 # Mixing ----------------------------------------------------------------------------------------------------------------
 
 
