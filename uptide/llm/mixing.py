@@ -1,9 +1,9 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks (DataFrame functions only).
 
 A source's target is its weight's share of ``total_share`` times all words, held to ``cap`` times its own size; the
-excess goes to the others by weight. The targets' words are dealt as blocks of ``block_words`` words: first to sources,
-then, within a source, to shards of bounded size, each time to the highest quotients votes / 1, votes / 3, votes / 5 ...
-Within a shard documents stand in seeded order and their words form blocks; a quota of q over n blocks takes every
+excess goes to the others by weight. The targets' words are dealt to sources word by word; within a source, equal blocks of
+words (``block_words``, fewer in sources of few words, one at least) go to groups of shards and then to shards of bounded
+size, each time to the highest quotients votes / 1, votes / 3, votes / 5 ... Within a shard documents stand in seeded order and their words form blocks; a quota of q over n blocks takes every
 block q // n times and q % n consecutive ones, from a seeded start, once more. No document is taken over ``cap`` times.
 
 Edge cases: a null or word-less text has size 0 and takes 0; the null source is a source of its own, last in order;
@@ -24,7 +24,12 @@ CAP = 2
 
 SEED = 20261201
 BLOCK_WORDS = 64
+#: Blocks are at most this share of a source, so that small sources come near their targets as well.
+BLOCK_SHARE = 1024
 SHARD_WORDS = 1 << 17
+SHARD_ROWS = 1 << 16
+#: Shards that are compared with one another at once.
+GROUP_SHARDS = 1024
 
 
 def _digits(key: Column, start: int) -> Column:
@@ -72,6 +77,7 @@ def mix(
     cap: int = CAP,
     block_words: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
+    group_shards: int = GROUP_SHARDS,
     seed: int = SEED,
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` and the document's ``source``, one row per document."""
@@ -83,23 +89,28 @@ def mix(
             F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("__key"),
         )
     )
-    targets = source_targets(sized, weights, total_share, cap, block_words)
-    targets = targets.withColumn("__shards", F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("long"))
-    columns = ["doc_id", F.col("d.source").alias("source"), "size", "__key", "source_size", "target", F.col("quota").alias("__seats"), "__party"]
+    targets = source_targets(sized, weights, total_share, cap)
+    block = F.least(F.lit(block_words), F.greatest(F.floor(F.col("source_size") / BLOCK_SHARE), F.lit(1))).cast("long")
+    shards = F.greatest(F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("__rows") / SHARD_ROWS), F.lit(1)).cast("long")
+    targets = targets.withColumn("__block", block).withColumn("__shards", shards).withColumn("__seats", F.round(F.col("quota") / F.col("__block")).cast("long"))
+    columns = ["doc_id", F.col("d.source").alias("source"), "size", "__key", "source_size", "target", "__seats", "__block", "__party"]
     placed = (
         sized.alias("d")
         .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
         .select(*columns, (_digits(F.col("__key"), 1) % F.col("__shards")).alias("__shard"))
         .withColumnRenamed("__party", "__src")
     )
-    shards = (
+    parts = (
         placed.groupBy("__src", "__shard")
-        .agg(F.sum("size").alias("__votes_in"), F.first("__seats").alias("__seats"))
-        .withColumn("__blocks", F.ceil(F.col("__votes_in") / block_words).cast("long"))
+        .agg(F.sum("size").alias("__votes_in"), F.first("__seats").alias("__seats"), F.first("__block").alias("__block"))
+        .withColumn("__blocks", F.ceil(F.col("__votes_in") / F.col("__block")).cast("long"))
         .withColumn("__capacity", cap * F.col("__blocks"))
-        .withColumn("__party", F.col("__shard"))
+        .withColumn("__group", F.floor(F.col("__shard") / group_shards))
     )
-    quotas = apportion(shards, ["__src"], "__votes_in", "__seats", "__capacity", [F.col("__party")]).select(
+    groups = parts.groupBy("__src", F.col("__group").alias("__party")).agg(*(F.sum(c).alias(c) for c in ("__votes_in", "__capacity")), F.first("__seats").alias("__seats"))
+    groups = apportion(groups, ["__src"], "__votes_in", "__seats", "__capacity", [F.col("__party")]).select("__src", F.col("__party").alias("__group"), F.col("quota").alias("__seats"))
+    parts = parts.drop("__seats").join(groups, ["__src", "__group"]).withColumn("__party", F.col("__shard"))
+    quotas = apportion(parts, ["__src", "__group"], "__votes_in", "__seats", "__capacity", [F.col("__party")]).select(
         "__src", F.col("__party").alias("__shard"), "__blocks", "quota"
     )
     start = F.sum("size").over(Window.partitionBy("__src", "__shard").orderBy("__key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
@@ -109,7 +120,7 @@ def mix(
 
     def overlap(a: Column, b: Column) -> Column:
         """Words of the document in the blocks from a to b, b excluded."""
-        return F.greatest(F.least(last, b * block_words) - F.greatest(first, a * block_words), F.lit(0))
+        return F.greatest(F.least(last, b * F.col("__block")) - F.greatest(first, a * F.col("__block")), F.lit(0))
 
     extra = F.col("quota") % blocks
     end = F.col("__offset") + extra
@@ -125,8 +136,8 @@ def mix(
     )
 
 
-def source_targets(sized: DataFrame, weights: tuple[int, ...], total_share: float, cap: int, block_words: int) -> DataFrame:
-    """Per source: size, target in words and quota in blocks.
+def source_targets(sized: DataFrame, weights: tuple[int, ...], total_share: float, cap: int) -> DataFrame:
+    """Per source: size, target and quota in words.
 
     Sources in order of capacity per weight fill up one after another; the level that the rest shares is the largest
     (words left) / (weight left) of that order. One row per source is ordered in one task, never the documents.
@@ -140,7 +151,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], total_share: floa
     level = (F.col("__all") * total_share - F.coalesce(F.sum(cap * F.col("source_size")).over(before), F.lit(0))) / F.sum("__weight").over(after)
     filled = (
         sized.groupBy("source")
-        .agg(F.sum("size").alias("source_size"))
+        .agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__rows"))
         .withColumn("__party", F.row_number().over(everything).cast("long"))
         .withColumn("__weight", weight)
         .withColumn("__ratio", cap * F.col("source_size") / F.col("__weight"))
@@ -148,10 +159,10 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], total_share: floa
         .withColumn("__level", level)
         .withColumn("__level", F.max("__level").over(whole))
         .withColumn("target", F.least((cap * F.col("source_size")).cast("double"), F.greatest(F.col("__level"), F.lit(0.0)) * F.col("__weight")))
-        .withColumn("__seats", F.round(F.sum("target").over(whole) / block_words).cast("long"))
-        .withColumn("__capacity", cap * F.ceil(F.col("source_size") / block_words).cast("long"))
+        .withColumn("__seats", F.round(F.sum("target").over(whole)).cast("long"))
+        .withColumn("__capacity", cap * F.col("source_size"))
         .withColumn("__group", F.lit(0))
-        .select("__group", "__party", "source", "source_size", "target", "__seats", "__capacity")
+        .select("__group", "__party", "source", "source_size", "__rows", "target", "__seats", "__capacity")
     )
     return apportion(filled, ["__group"], "target", "__seats", "__capacity", [F.col("__party")]).drop("__group")
 
@@ -161,10 +172,64 @@ def repeat_taken(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     Word-less documents stay once: they weigh nothing. Rows are matched by id and text; copies of a row share equally.
     """
-    key = F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    keyed = docs.withColumn("__mix", key)
-    mixed = mix(keyed, id_col="__mix", text_col=text_col, source_col=source_col, **options)
-    times = mixed.groupBy(F.col("doc_id").alias("__mix")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("__share"), F.sum("size").alias("__size"))
-    copies = F.when(F.col("__size") > 0, F.floor(F.col("__share") + 0.5)).otherwise(1).cast("int")
-    joined = keyed.join(times, "__mix").withColumn("__copies", copies)
-    return joined.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    keyed = docs.select(
+        F.xxhash64(F.col(f"`{id_col}`"), text).alias("key"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{source_col}`").alias("source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    )
+    mixed = mix(keyed, id_col="key", **options)
+    times = mixed.groupBy(F.col("doc_id").alias("key")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share"), F.sum("size").alias("size"))
+    copies = F.when(F.col("size") > 0, F.floor(F.col("share") + 0.5)).otherwise(1).cast("int")
+    joined = keyed.select("key", "row").join(times, "key").withColumn("copies", copies).where("copies > 0")
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def _lague_sql(name: str, parties: str, group: str) -> str:
+    """CTEs ``name``: the parties (party, votes, seats, capacity and more) with their quota, by all quotients in order."""
+    return f"""{name}_seats AS (
+  SELECT {group}, party, row_number() OVER (PARTITION BY {group} ORDER BY votes / (2 * seat - 1)::DOUBLE DESC, votes DESC, party, seat) AS place, seats
+  FROM (SELECT {group}, party, votes, seats, unnest(range(1, least(seats, capacity) + 1)) AS seat FROM {parties} WHERE votes > 0)),
+{name} AS (
+  SELECT p.*, coalesce(w.won, 0) AS quota FROM {parties} p
+  LEFT JOIN (SELECT {group}, party, count(*) AS won FROM {name}_seats WHERE place <= seats GROUP BY {group}, party) w USING ({group}, party))"""
+
+
+def _overlap_sql(a: str, b: str) -> str:
+    return f"greatest(least(begins + size, ({b}) * block) - greatest(begins, ({a}) * block), 0)"
+
+
+#: The whole mix with the parameters' defaults.
+SQL = f"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_rows, row_number() OVER (ORDER BY source ASC NULLS LAST) AS party,
+         sum(sum(size)) OVER ()::BIGINT AS words FROM sized GROUP BY source),
+weighed AS (SELECT *, {list(WEIGHTS)}[(party - 1) % {len(WEIGHTS)} + 1] AS weight FROM sources),
+levels AS (
+  SELECT *, (words * {TOTAL_SHARE}::DOUBLE - coalesce(sum({CAP} * source_size) OVER (ORDER BY {CAP} * source_size / weight::DOUBLE, party ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY {CAP} * source_size / weight::DOUBLE, party ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+targets AS (SELECT *, least(({CAP} * source_size)::DOUBLE, greatest(max(level) OVER (), 0::DOUBLE) * weight) AS target FROM levels),
+source_parties AS (SELECT *, 0 AS whole, target AS votes, round(sum(target) OVER ())::BIGINT AS seats, {CAP} * source_size AS capacity FROM targets),
+{_lague_sql("source_quotas", "source_parties", "whole")},
+dealt AS (
+  SELECT party AS src, source, source_size, target, least({BLOCK_WORDS}, greatest(source_size // {BLOCK_SHARE}, 1)) AS block, quota,
+         greatest(ceil(source_size / {SHARD_WORDS}), ceil(n_rows / {SHARD_ROWS}), 1)::BIGINT AS shards FROM source_quotas),
+placed AS (
+  SELECT d.doc_id, d.source, d.size, d.k, t.src, t.source_size, t.target, t.block, round(t.quota / t.block)::BIGINT AS seats,
+         CAST('0x' || substr(d.k, 1, 8) AS BIGINT) % t.shards AS shard FROM sized d JOIN dealt t ON d.source IS NOT DISTINCT FROM t.source),
+shards AS (
+  SELECT src, shard, shard // {GROUP_SHARDS} AS grp, sum(size)::BIGINT AS votes, min(seats) AS seats, ceil(sum(size) / min(block))::BIGINT AS blocks, {CAP} * ceil(sum(size) / min(block))::BIGINT AS capacity
+  FROM placed GROUP BY src, shard),
+groups AS (SELECT src, grp AS party, sum(votes)::BIGINT AS votes, min(seats) AS seats, sum(capacity)::BIGINT AS capacity FROM shards GROUP BY src, grp),
+{_lague_sql("group_quotas", "groups", "src")},
+shard_parties AS (SELECT s.src * 1000000 + s.grp AS src_grp, s.src, s.shard AS party, s.votes, g.quota AS seats, s.capacity, s.blocks FROM shards s JOIN group_quotas g ON g.src = s.src AND g.party = s.grp),
+{_lague_sql("shard_quotas", "shard_parties", "src_grp")},
+starts AS (
+  SELECT p.*, sum(size) OVER (PARTITION BY p.src, p.shard ORDER BY k, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS begins, q.quota, greatest(q.blocks, 1) AS n_blocks,
+         CAST('0x' || substr(md5('{SEED}:' || p.src || ':' || p.shard), 1, 8) AS BIGINT) % greatest(q.blocks, 1) AS first_block
+  FROM placed p JOIN shard_quotas q ON q.src = p.src AND q.party = p.shard)
+SELECT doc_id, source, size, source_size, target,
+       ((quota // n_blocks) * size + {_overlap_sql("first_block", "least(first_block + quota % n_blocks, n_blocks)")} + {_overlap_sql("0", "first_block + quota % n_blocks - n_blocks")})::BIGINT AS taken
+FROM starts
+"""

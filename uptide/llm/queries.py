@@ -25,4 +25,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_prefix_trie": lambda spark, sf_dir: prefix_trie.trie_report(table(spark, sf_dir, "conversations")),
 }
 
-SQL: dict[str, str] = {"op11_decontamination": decontaminate.SQL, "op13_prefix_trie": prefix_trie.SQL}
+SQL: dict[str, str] = {"op7_mixing": mixing.SQL, "op11_decontamination": decontaminate.SQL, "op13_prefix_trie": prefix_trie.SQL}
