@@ -191,10 +191,10 @@ def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     rows = classified(docs, id_col=id_col, text_col=text_col, **options)
     counted = rows.groupBy("root", "doc_id", "t").agg(F.count(F.lit(1)).alias("n"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "t", "n"))
-    kept = cut(counted.groupBy("root").agg(best.alias("w")).select(F.col("w.doc_id").alias("__id"), F.col("w.t").alias("__t"), F.col("w.n").alias("__n")))
-    text_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash == F.col("__t"))
-    single = docs.join(kept.where("__n = 1"), same, "left_semi")
+    kept = cut(counted.groupBy("root").agg(best.alias("w")).select(F.col("w.doc_id").alias("id"), F.col("w.t").alias("t"), F.col("w.n").alias("n")))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("t"))
+    single = whole.join(kept.where("n = 1"), same, "left_semi")
     # Rows that repeat an id and its text are one document.
-    repeated = docs.join(kept.where("__n > 1"), same, "left_semi").dropDuplicates([id_col, text_col])
-    return single.unionByName(repeated)
+    repeated = whole.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(repeated).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
