@@ -99,6 +99,42 @@ def test_simhash_keeps_one_of_each_component(frame, docs):
     assert {r[0] for r in rows} == set(root)
 
 
+def test_keep_first_with_clashing_names_and_nothing(spark, frame, empty):
+    from pyspark.sql import functions as F
+
+    clash = ["__id", "__t", "__n", "id", "w", "row", "null"]
+    kept = simhash.keep_first(frame.withColumns({c: F.lit(c) for c in clash}))
+    assert kept.columns == [*frame.columns, *clash] and all(r["__id"] == "__id" and r["row"] == "row" for r in kept.collect())
+    assert simhash.keep_first(empty).collect() == []
+
+
+def test_texts_of_very_many_spans():
+    import time
+
+    addresses = "\n".join(f"u{i}.{i % 7}@mail{i}.example.org" + " and so on it goes as before with no end in sight" * 2 for i in range(20_000))
+    keys = " ".join(f"token={i:06d}abcdef {'Zq8' * 3}{i:08d}kLmPxAbCvDeTyu" for i in range(20_000))
+    began = time.time()
+    base = pii.base_spans(addresses)
+    assert len(base) == 20_000 and len(pii.example_zones(addresses)) > 0
+    found = secrets.base_spans(keys)
+    assert len(found) == 20_000 and len(secrets.generic_candidates(keys, found)) == 20_000
+    assert time.time() - began < 30
+
+
+def test_spans_touch_as_by_looking_at_all():
+    from uptide.llm.common import Spans
+
+    rnd = random.Random(6)
+    for _ in range(200):
+        spans = [(a, a + rnd.randint(1, 9)) for a in (rnd.randrange(40) for _ in range(rnd.randrange(8)))]
+        known = Spans(spans)
+        for _ in range(10):
+            a = rnd.randrange(45)
+            b = a + rnd.randint(1, 6)
+            want = {n for n, (x, y) in enumerate(spans) if x < b and a < y}
+            assert known.touch(a, b) == bool(want) and want <= set(known.touching(a, b))
+
+
 def test_links_across_split_tiles(spark):
     rnd = random.Random(2)
     base = [rnd.getrandbits(64) for _ in range(40)]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-import uuid
-from collections.abc import Callable, Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -26,9 +27,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fresh(df: DataFrame, stem: str = "tmp") -> str:
-    """A column name that ``df`` does not have."""
-    return f"__{stem}_{uuid.uuid4().hex[:8]}" if f"__{stem}" in df.columns else f"__{stem}"
+class Spans:
+    """Spans by start, which may overlap; finds those that touch a stretch without looking at all."""
+
+    def __init__(self, spans: Sequence[tuple[int, int]]):
+        self.order = sorted(range(len(spans)), key=lambda n: spans[n])
+        self.starts = [spans[n][0] for n in self.order]
+        self.reach = list(accumulate((spans[n][1] for n in self.order), max))
+
+    def touching(self, start: int, end: int) -> list[int]:
+        """Numbers, in the given sequence, of spans that may touch the stretch: all that do, few others."""
+        return self.order[bisect_right(self.reach, start) : bisect_left(self.starts, end)]
+
+    def touch(self, start: int, end: int) -> bool:
+        """Whether any span has a place in common with the stretch."""
+        last = bisect_left(self.starts, end)
+        return last > 0 and self.reach[last - 1] > start
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType) -> DataFrame:

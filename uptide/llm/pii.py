@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from uptide.llm.common import cut, map_batches, spans_text
+from uptide.llm.common import Spans, cut, map_batches, spans_text
 
 #: Fixed by the contract: base kinds in order and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -374,12 +374,12 @@ def fit(examples: list[tuple[list[str], list[tuple[int, int, int]]]], epochs: in
 def example_zones(text: str) -> list[tuple[list[str], list[tuple[int, int, int]]]]:
     """Zones with the base spans that fill whole words; of overlapping ones the longest."""
     base = sorted(base_spans(text), key=lambda s: (s[1] - s[2], s[1]))
-    out = []
+    near, out = Spans([(a, b) for _, a, b in base]), []
     for zone in zones(text):
-        if len(zone) > ZONE_WORDS:
+        if not zone or len(zone) > ZONE_WORDS:
             continue
         gold, taken = [], []
-        for kind, a, b in base:
+        for kind, a, b in (base[n] for n in sorted(near.touching(zone[0][0], zone[-1][1]))):
             inside = [n for n, (x, y) in enumerate(zone) if x < b and a < y]
             if inside and zone[inside[0]][0] <= a and b <= zone[inside[-1]][1] and not any(x < b and a < y for x, y in taken):
                 if text[zone[inside[0]][0] : zone[inside[-1]][1]].strip(EDGE) == text[a:b].strip(EDGE):
@@ -418,7 +418,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ma
 
 def added_spans(field: Field, text: str, base: list[tuple[str, int, int]], least: float = LEAST) -> list[tuple[str, int, int]]:
     """Entities of the best segmentations that no base span touches."""
-    out = []
+    known, out = Spans([(a, b) for _, a, b in base]), []
     for zone in zones(text):
         words = [text[a:b] for a, b in zone]
         net = lattice(field, words)
@@ -426,7 +426,7 @@ def added_spans(field: Field, text: str, base: list[tuple[str, int, int]], least
         fresh = []
         for i, j, k in best:
             a, b = zone[i][0], zone[j - 1][1]
-            if any(x < b and a < y for _, x, y in base):
+            if known.touch(a, b):
                 continue
             while a < b and text[a] in EDGE:
                 a += 1

@@ -16,15 +16,15 @@ are documents of their own with the same result; an empty table gives an empty r
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from uptide.llm.common import cut, either_case, map_batches, spans_text
+from uptide.llm.common import Spans, cut, either_case, map_batches
 
 #: Fixed by the contract: base kinds in order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -75,7 +75,7 @@ def entropy(value: str) -> float:
 
 def generic_candidates(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
     """Key-like runs around digits that no base span touches."""
-    found, at = [], 0
+    found, at, base = [], 0, Spans([(a, b) for _, a, b, _ in taken])
     while m := DIGIT.search(text, at):
         left = m.start()
         while left > at and RUN.match(text[left - 1]):
@@ -84,7 +84,7 @@ def generic_candidates(text: str, taken: list[tuple[str, int, int, str]]) -> lis
         at = right
         value = text[left:right]
         if len(value) >= MIN_GENERIC and any(c.isalpha() for c in value) and entropy(value) >= MIN_ENTROPY:
-            if not any(a < right and left < b for _, a, b, _ in taken):
+            if not base.touch(left, right):
                 found.append((ADDED, left, right, value))
     return found
 
@@ -191,19 +191,33 @@ def find_secrets(
     return left.join(right, same, "left").select("l.doc_id", "l.text_key", F.coalesce("r.found", empty).alias("found"))
 
 
-DIGEST = "struct<n_assign:bigint,n_access:bigint,n_hex:bigint,n_live:bigint,base_sha256:string,spans:string>"
-
-
-def _digest(found):
-    base = [(s.kind, s.start, s.end) for s in found if s.kind != ADDED]
-    every = [(s.kind, s.start, s.end) for s in found]
-    digest = hashlib.sha256(spans_text(base, ORDER).encode()).hexdigest()
-    return (*(sum(k == kind for k, _, _ in base) for kind in KINDS), sum(bool(s.live) for s in found), digest, spans_text(every, ORDER))
+def _spans_column(found: Column) -> Column:
+    """``kind:start:end`` by start, then kind as listed, comma-joined."""
+    order = F.array(*[F.lit(k) for k in sorted(ORDER, key=ORDER.__getitem__)])
+    placed = F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
+    return F.array_join(F.transform(F.array_sort(placed), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
 def secret_report(docs: DataFrame, **columns) -> DataFrame:
     """The contract's row per document; ``n_live`` counts spans that look live."""
-    return find_secrets(docs, **columns).withColumn("d", F.udf(_digest, DIGEST)("found")).select("doc_id", "d.*")
+    found = F.col("found")
+    kinds = F.transform(found, lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, lambda x: x == k)).cast("long").alias(f"n_{k}") for k in KINDS]  # noqa: B023 - used at once
+    base = F.filter(found, lambda s: s["kind"] != ADDED)
+    return find_secrets(docs, **columns).select(
+        "doc_id", *counts, F.size(F.filter(found, lambda s: s["live"])).cast("long").alias("n_live"), F.sha2(_spans_column(base), 256).alias("base_sha256"), _spans_column(found).alias("spans")
+    )
+
+
+def _marked(text: str | None, starts, ends, mark: str) -> str | None:
+    if text is None or starts is None:
+        return text
+    out, at = [], 0
+    for a, b in sorted(zip(starts, ends, strict=True)):
+        if a >= at:
+            out += [text[at:a], mark]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
 
 
 def redact_live(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", **columns) -> DataFrame:
@@ -216,16 +230,9 @@ def redact_live(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET
     live = found.withColumn("live", F.filter("found", lambda s: s["live"])).where(F.size("live") > 0).select("doc_id", "text_key", F.col("live.start").alias("starts"), F.col("live.end").alias("ends"))
     live = live.dropDuplicates(["doc_id", "text_key"])
 
-    @F.udf("string")
-    def replaced(text, starts, ends):
-        if text is None or starts is None:
-            return text
-        out, at = [], 0
-        for a, b in sorted(zip(starts, ends, strict=True)):
-            if a >= at:
-                out += [text[at:a], mark]
-            at = max(at, b)
-        return "".join([*out, text[at:]])
+    @F.pandas_udf("string")
+    def replaced(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([_marked(t, a, b, mark) for t, a, b in zip(texts, starts, ends, strict=True)], dtype=object)
 
     key = F.xxhash64(F.coalesce(F.col(f"d.{text_col}").cast("string"), F.lit("")))
     joined = docs.alias("d").join(live.alias("v"), F.col(f"d.{id_col}").eqNullSafe(F.col("v.doc_id")) & (key == F.col("v.text_key")), "left")
