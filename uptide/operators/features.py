@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from uptide.functions.categories import category_lists
 from uptide.functions.prefix import running_totals
 from uptide.functions.scalar import clean_name, safe_ratio
 from uptide.operators.clean import impute_nulls
@@ -150,23 +151,21 @@ def measurement_features(
     return impute_nulls(wide, numeric=MEASUREMENT_FEATURES, empty_numeric=0.0, source=groups, weight="__n")
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], *, max_categories: int = 50, prefixes: Mapping[str, str] | None = None) -> DataFrame:
+def one_hot(df: DataFrame, columns: Sequence[str], *, max_categories: int = 50, prefixes: Mapping[str, str] | None = None, listed: DataFrame | None = None) -> DataFrame:
     """Replace a text column of at most ``max_categories`` values by 0/1 columns, one per value.
 
-    Columns with more values stay as they are. Values are listed while the frame is built: a job per column, of
-    which the driver sees at most ``max_categories + 1`` values. A NULL gives 0 everywhere.
+    Columns with more values stay as they are. Values are listed while the frame is built, by one job for all columns;
+    ``listed`` may be a smaller frame with the same columns and values. A NULL gives 0 everywhere.
     """
     prefixes = prefixes or {}
+    lists = category_lists(df if listed is None else listed, columns, max_categories)
     for column in columns:
-        values = [
-            r[0]
-            for r in df.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_categories + 1).collect()
-        ]
-        if len(values) > max_categories:
+        values = lists[column]
+        if values is None:
             continue
         prefix = prefixes.get(column, column.replace(" ", "_").replace(".", ""))
         flags = {
-            clean_name(f"{prefix}_{v}"): F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in sorted(values)
+            clean_name(f"{prefix}_{v}"): F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in values
         }
         df = df.withColumns(flags).drop(column)
     return df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptide.operators import events, prescribe
+from uptide.operators import events, intervals, prescribe
 from uptide.plans import adapters as a
 from uptide.plans.registry import query
 
@@ -238,3 +238,22 @@ FROM ev e JOIN period p ON p.equipamento = e.equipamento""",
 )
 def events_in_period(spark: SparkSession, sf: str) -> DataFrame:
     return events.events_in_period(_history(spark, sf), _ledger(spark, sf))
+
+
+@query(
+    "overlapping_windows",
+    """WITH e AS (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS entity, epoch_us(ts) // 1000000 AS s, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+w AS (SELECT event_id AS janela, entity, s AS inicio, s + CASE WHEN event_id % 50 = 0 THEN 259200 ELSE 60 * (event_id % 90) END AS fim FROM e)
+SELECT w.janela, w.entity, w.inicio, w.fim, count(e.event_id) AS points, CAST(sum(e.cents) AS BIGINT) AS cents
+FROM w LEFT JOIN e ON e.entity = w.entity AND e.s >= w.inicio AND e.s < w.fim GROUP BY ALL""",
+)
+def overlapping_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event opens a window of up to 90 minutes, every fiftieth one of three days; what its entity does inside.
+
+    A third of all events belong to one entity, whose windows overlap.
+    """
+    entity = F.when(F.col("user_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id")).alias("entity")
+    events = a.table(spark, sf, "events").select("event_id", entity, F.expr("unix_seconds(CAST(ts AS timestamp))").alias("s"), F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    seconds = F.when(F.col("event_id") % 50 == 0, 259200).otherwise(60 * (F.col("event_id") % 90))
+    windows = events.select(F.col("event_id").alias("janela"), "entity", F.col("s").alias("inicio"), (F.col("s") + seconds).alias("fim"))
+    return intervals.interval_totals(events, windows, ["cents"], key="entity", at="s", start="inicio", end="fim", name="janela")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from uptide.functions import categories
 from uptide.operators import profile
 from uptide.plans import adapters as a
 from uptide.plans.feature_tables import TARGET_SQL, target
@@ -120,6 +121,25 @@ def category_balance(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found, 6, "share")
 
 
+CATEGORIES = ("l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_suppkey", "l_partkey")
+
+
+@query(
+    "category_lists",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CASE WHEN count(DISTINCT v) <= 50 THEN string_agg(DISTINCT v, ',' ORDER BY v) END AS valores, count(v) AS n
+FROM (SELECT CAST({"CAST(l_quantity AS BIGINT)" if c == "l_quantity" else c} AS VARCHAR) AS v FROM lineitem)"""
+        for c in CATEGORIES
+    ),
+)
+def category_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Values of the columns that have at most 50, and how many rows they have."""
+    rows = a.table(spark, sf, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("bigint"))
+    lists = categories.category_lists(rows, CATEGORIES, 50)
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(None if v is None else ",".join(v)).alias("valores"), F.count(c).alias("n")) for c, v in lists.items()]
+    return rows.agg(F.array(*cells).alias("r")).select(F.inline("r"))
+
+
 @query(
     "histogram",
     """WITH b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
