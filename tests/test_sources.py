@@ -256,3 +256,27 @@ def test_production_is_read_by_each_files_header(spark, tmp_path):
     write(tmp_path / "EQ-2.csv", "Cód. Ordem,Data de Produção,Cód. Recurso,Qtd. Produzida,Qtd. Refugada", "2,06/03/2024,EQ-2,200,M1")
     found = readers.read_entity_files(spark, str(tmp_path))
     assert rows(found, "entity", "order_id", "qty_produced", "qty_scrapped") == [("EQ-1", 1, 100, 5), ("EQ-2", 2, 200, None)]
+
+
+def test_many_columns_repeated_names_and_large_files(spark, tmp_path):
+    names = list(schema.PRODUCTION_HEADERS)
+    extra = [f"Extra {i}" for i in range(100)]
+    head = [*extra[:90], *reversed(names), *extra[90:]]
+    row = {**dict(zip(names, line("05/03/2024", 7, "EQ-1", 70).split(","))), **dict.fromkeys(extra, "x")}
+    write(tmp_path / "EQ-1.csv", "", ",".join(head), ",".join(row[h] for h in head), ",".join(row[h] for h in head).replace(",70,", ",71,"))
+    # a row of data that names two columns is data; further columns do not make another layout
+    write(tmp_path / "EQ-2.csv", HEADER, line("06/03/2024", 8, "EQ-2", 80, compound="Cód. Ordem", product="Cód. Un."))
+    write(tmp_path / "EQ-3.csv", "\ufeff" + HEADER + ",More", *(line("07/03/2024", n, "EQ-3", n) + ",y" for n in range(4000)))
+    write(tmp_path / "EQ-4 50%.csv", line("08/03/2024", 9, "EQ-4", 90))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = readers.read_entity_files(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() > 8
+        assert rows(found.filter("entity != 'EQ-3'"), "entity", "order_id", "qty_produced", "product", "compound") == [
+            ("EQ-1", 7, 70, "PR1", "MASSA 1"), ("EQ-1", 7, 71, "PR1", "MASSA 1"), ("EQ-2", 8, 80, "Cód. Un.", "Cód. Ordem"), ("EQ-4 50%", 9, 90, "PR1", "MASSA 1"),
+        ]
+        third = found.filter("entity = 'EQ-3'")
+        assert third.count() == 4000 and third.filter("prod_ts is null or qty_produced != order_id").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert readers.read_entity_files(spark, str(tmp_path), "none*.csv").count() == 0

@@ -20,6 +20,11 @@ OTHER_CATEGORY = "outros"
 FIRST_REPORT_VERSION = 5
 
 
+def decoded(uri: Column) -> Column:
+    """A file's path or name as it is, from its URI."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, *folders: str, pattern: str = "*", more: Sequence[Column] = ()) -> DataFrame:
     """``category, name, path, size, modified`` and ``more`` of all files below the folders; contents are not read."""
     files = (

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from uptide import schema
 from uptide.functions.scalar import parse_timestamp, safe_double
 from uptide.operators.clean import combine_sources, drop_key_duplicates, with_entity_prefix
 from uptide.operators.events import MEASURES
 from uptide.operators.features import DEFAULT_INTERVAL_DAYS, with_defaults
+from uptide.sources.layouts import list_paths, read_layouts
 from uptide.sources.workbooks import named_cells, read_cells
 
 DEDUP_KEYS = ("order_id", "prod_ts", "resource", "product", "qty_produced")
@@ -26,52 +27,20 @@ def _typed(raw: DataFrame, entity) -> DataFrame:
     )
 
 
-#: Most columns of a production file.
-MAX_COLUMNS = 64
-#: A row with so many known column names is its file's header.
-HEADER_NAMES = 2
+def _read(spark: SparkSession, paths: Sequence[str], *, fallbacks: Mapping[str, Sequence[str]] | None = None, defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """Production rows of files whose columns are found by each file's own header."""
+    columns = {n: (h, *(fallbacks or {}).get(n, ())) for h, n in schema.PRODUCTION_HEADERS.items()}
+    return read_layouts(spark, paths, columns, schema.PRODUCTION_TYPES, standard=list(schema.PRODUCTION_HEADERS), defaults=defaults)
 
 
-CELLS = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MAX_COLUMNS)])
-
-
-def cells(raw: DataFrame) -> DataFrame:
-    """``cells, file, source_file`` of files that were read with the schema ``CELLS`` and without a header."""
-    return raw.select(F.array(*CELLS.names).alias("cells"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("source_file"))
-
-
-def by_header(
-    rows: DataFrame, *, fallbacks: Mapping[str, Sequence[str]] | None = None, defaults: Mapping[str, object] | None = None
-) -> DataFrame:
-    """Production rows of cells, whose columns are found by each file's own header.
-
-    Files of any column order and of several layouts may lie side by side; a file without a header has the standard
-    order. Text that is no value of the column's type becomes NULL, a column that a file lacks gets ``defaults`` or NULL.
-    The headers, one row per file, are joined by file.
-    """
-    trimmed = F.transform("cells", lambda c: F.trim(F.regexp_replace(c, "\ufeff", "")))
-    standard = F.array(*[F.lit(h) for h in schema.PRODUCTION_HEADERS])
-    header = F.size(F.array_intersect(trimmed, standard)) >= HEADER_NAMES
-    headers = rows.filter(header).groupBy("file").agg(F.min(trimmed).alias("header"))
-    joined = rows.filter(~header).join(headers, "file", "left").withColumn("header", F.coalesce("header", standard))
-
-    def column(head: str, name: str) -> Column:
-        value = F.lit((defaults or {}).get(name))
-        for candidate in reversed((head, *(fallbacks or {}).get(name, ()))):
-            at = F.array_position("header", candidate)
-            value = F.when(at > 0, F.get("cells", (at - 1).cast("int"))).otherwise(value.cast("string"))
-        return value.try_cast(schema.PRODUCTION_TYPES[name]).alias(name)
-
-    return joined.select(*[column(h, n) for h, n in schema.PRODUCTION_HEADERS.items()], "source_file")
-
-
-def production_rows(rows: DataFrame) -> DataFrame:
-    """Production records of cells; the entity is the resource column."""
-    return _typed(by_header(rows), F.col("resource"))
+def production_rows(files: DataFrame) -> DataFrame:
+    """Production records of the files listed in ``path``; the entity is the resource column."""
+    paths = sorted(r["path"] for r in files.select("path").distinct().collect())
+    return _typed(_read(files.sparkSession, paths), F.col("resource"))
 
 
 def _csv(spark: SparkSession, folder: str, pattern: str, **options) -> DataFrame:
-    return by_header(cells(spark.read.schema(CELLS).option("pathGlobFilter", pattern).csv(folder)), **options)
+    return _read(spark, list_paths(spark, folder, pattern), **options)
 
 
 def read_entity_files(spark: SparkSession, folder: str, pattern: str = "EQ-*.csv") -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from uptide.operators.incremental import detect_changes
-from uptide.sources.listing import list_files
+from uptide.sources.listing import decoded, list_files
 
 BUCKETS = 256
 #: Files whose lines are rows.
@@ -112,5 +112,4 @@ def changed_rows(old: DataFrame, new: DataFrame, buckets: DataFrame, hash_: Colu
 def snapshot_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """New, modified and removed files between two snapshots' files, by path."""
     changes = detect_changes(*[f.select("category", F.col("file").alias("name"), "hash") for f in (old, new)])
-    # The paths of files are URIs.
-    return changes.withColumn("name", F.url_decode(F.replace(F.element_at(F.split("name", "/"), -1), F.lit("+"), F.lit("%2B"))))
+    return changes.withColumn("name", decoded(F.element_at(F.split("name", "/"), -1)))

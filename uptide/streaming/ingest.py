@@ -17,24 +17,26 @@ from pyspark.sql.streaming import StreamingQuery
 from uptide.operators.incremental import has_changes
 from uptide.session import stored
 from uptide.sources.manifest import Manifest
-from uptide.sources.readers import CELLS, cells
 from uptide.sources.snapshots import content_snapshot, snapshot_changes
 from uptide.streaming import levels
 
 POLL_SECONDS = 300
+#: What Spark gives for a file as a whole.
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def production_stream(
     spark: SparkSession, folder: str, *, pattern: str = "EQ-*.csv", archive: str | None = None, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Stream of the cells of new CSV files; with ``archive``, finished files move there.
+    """Stream of the paths of new CSV files; with ``archive``, finished files move there.
 
-    A file arrives within one batch, so ``prepare=readers.production_rows`` of :func:`start_ingestion` finds its columns by header.
+    The contents are not read here: ``prepare=readers.production_rows`` of :func:`start_ingestion` reads a batch's files by
+    their headers.
     """
-    reader = spark.readStream.schema(CELLS).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.format("binaryFile").schema(FILE).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return cells(reader.csv(folder))
+    return reader.load(folder).select("path")
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -124,7 +126,7 @@ def start_ingestion(
     """Append the rows with new keys (:func:`first_rows`) to the table at ``target``.
 
     ``poll_seconds=None`` processes what is there and stops. ``after`` gets the stored rows of each batch, for incremental
-    aggregates. ``prepare`` makes records of each batch of the source, such as production rows of a file's cells: it runs
+    aggregates. ``prepare`` makes records of each batch of the source, such as the rows of new files: it runs
     in a stream of its own, whose records the second stream reads as they appear and then removes.
     """
     spark = stream.sparkSession
