@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from uptide.operators import incremental, runlog
 from uptide.plans import adapters as a
 from uptide.plans.registry import query
+from uptide.session import shared_folder, stored
+from uptide.sources import runs
 
 STEPS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
@@ -107,3 +109,47 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
 @query("change_counts", f"WITH {SNAPSHOT_SQL} SELECT change, count(*) AS n FROM ch WHERE change IS NOT NULL GROUP BY change")
 def change_counts(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.change_counts(incremental.detect_changes(*_snapshots(spark, sf)))
+
+
+RUNS = 3
+RUN_TIME = "2026-04-01 00:00:00"
+RUNS_SQL = """m AS (SELECT CAST(year(o_orderdate) % 3 AS BIGINT) AS r, o_orderpriority AS step, o_orderstatus AS model,
+  CASE WHEN o_orderstatus <> 'P' THEN round(avg(o_totalprice) / 1000, 3) END AS mse, round(max(o_totalprice) / 1000000, 4) AS r2 FROM orders GROUP BY 1, 2, 3),
+s AS (SELECT 'run_' || r AS run_id, step, arg_min(model, struct_pack(e := mse, m := model)) FILTER (WHERE mse IS NOT NULL) AS best_model, min(mse) AS best_mse FROM m GROUP BY 1, 2)"""
+
+
+def _committed_runs(spark: SparkSession, sf: str) -> str:
+    """Three runs, an order year's remainder each, stored one by one; the last is stored wrongly first and then repeated."""
+    root = shared_folder(spark, "runs")
+    orders = a.table(spark, sf, "orders").withColumn("r", F.year("o_orderdate") % RUNS)
+    mse = F.when(F.col("o_orderstatus") != "P", F.round(F.avg("o_totalprice") / 1000, 3)).alias("mse")
+    metrics = stored(orders.groupBy("r", F.col("o_orderpriority").alias("step"), F.col("o_orderstatus").alias("model")).agg(mse, F.round(F.max("o_totalprice") / 1000000, 4).alias("r2")), "metrics")
+    for r in (*range(RUNS), RUNS - 1):
+        log = None
+        for step in STEPS:
+            rows = runlog.metrics_as_log(metrics.filter((F.col("r") == r) & (F.col("step") == step)), f"run_{r}", RUN_TIME, step)
+            log = rows if log is None else log.unionByName(rows)
+        wrong = r == RUNS - 1 and len(runs.committed(spark, root)) < RUNS
+        runs.commit_run(spark, root, f"run_{r}", log.limit(1) if wrong else log)
+    return root
+
+
+@query(
+    "committed_runs",
+    f"""WITH {RUNS_SQL} SELECT run_id, '{RUN_TIME}' AS ts, count(*) AS total_steps, arg_min(step, struct_pack(e := best_mse, s := step)) FILTER (WHERE best_mse IS NOT NULL) AS best_step,
+  arg_min(best_model, struct_pack(e := best_mse, s := step)) FILTER (WHERE best_mse IS NOT NULL) AS best_model, min(best_mse) AS best_mse FROM s GROUP BY run_id""",
+)
+def committed_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Index of the committed runs."""
+    return runlog.run_index(runs.read_log(spark, _committed_runs(spark, sf)))
+
+
+@query(
+    "step_outcomes",
+    f"WITH {RUNS_SQL} SELECT CASE WHEN best_mse < 150 THEN 'ok' WHEN best_mse IS NULL THEN 'sem modelo' ELSE 'alto' END AS status, count(*) AS n FROM s GROUP BY 1",
+)
+def step_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Steps of the committed runs by whether their best model's error is small."""
+    steps = runlog.best_per_step(runs.read_log(spark, _committed_runs(spark, sf)))
+    status = F.when(F.col("best_mse") < 150, "ok").when(F.col("best_mse").isNull(), "sem modelo").otherwise("alto")
+    return runlog.step_outcomes(steps.select("step", status.alias("status")))

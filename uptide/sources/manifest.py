@@ -71,3 +71,17 @@ class Manifest:
         for name in self._names():
             if name.startswith(prefix) and name not in named:
                 self._fs.delete(self._at(name), True)
+
+    def move(self, source: str, target: str, modified: int | None = None) -> bool:
+        """Move a file, unless it is gone or, given its time in milliseconds, has changed; a file at the target stays, the
+        moved one then gets its time as a suffix."""
+        here, there = self._path(source), self._path(target)
+        if not self._fs.exists(here):
+            return False
+        at = self._fs.getFileStatus(here).getModificationTime()
+        if modified is not None and at != modified:
+            return False
+        if self._fs.exists(there):
+            there = self._path(f"{target}.{at}")
+        self._fs.mkdirs(there.getParent())
+        return bool(self._fs.rename(here, there))

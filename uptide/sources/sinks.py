@@ -70,7 +70,3 @@ def write_reports(lines: DataFrame, path: str, entity: str = "equipamento") -> N
     ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.select(entity, "linha").write.mode("overwrite").partitionBy(entity).text(path)
 
-
-def append_run(log: DataFrame, path: str) -> None:
-    """Append run-log rows or run summaries to their table."""
-    log.write.mode("append").parquet(path)
