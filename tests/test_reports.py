@@ -75,6 +75,29 @@ def test_report_lines_read_in_order(cells):
     assert [t.split(" | ")[0] for t in text[start + 4:]] == ["| B", "| A", "| **TOTAL**"]
 
 
+def test_documents_are_numbered_over_parts(spark, cells):
+    lines = reports.report_lines(cells)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        document = reports.report_document(lines).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ordered = sorted(document, key=lambda r: r.numero)
+    assert [r.numero for r in ordered] == list(range(1, len(ordered) + 1))
+    assert ordered == sorted(document, key=lambda r: (r.equipamento, r.secao, r.chave, r.linha))
+    index = {r.equipamento: (r.primeira_linha, r.linhas) for r in reports.document_index(spark.createDataFrame(document)).collect()}
+    for entity, (first, n) in index.items():
+        assert ordered[first - 1].linha == reports.TITLE + entity and {r.equipamento for r in ordered[first - 1 : first - 1 + n]} == {entity}
+
+
+def test_report_sections_without_events(spark, cells):
+    history = spark.createDataFrame([("E1", D(2024, 1, 20), "PREVENTIVA", "#7")], "equipamento string, data_evento date, tipo_evento string, observacoes string")
+    lines = reports.report_lines(cells, history=history).filter("secao = 2").collect()
+    assert [(r.equipamento, r.linha == reports.NO_EVENT) for r in sorted(lines, key=lambda r: r.equipamento)] == [("E1", False), ("E2", True)]
+    index = reports.index_document(spark.createDataFrame([("b",), ("a",), ("b",)], "e string"), "e", D(2024, 2, 1)).orderBy("numero").collect()
+    assert [r.linha for r in index][2:4] == ["_Gerado em 01/02/2024._", "_Equipamentos: 2._"] and index[-1].linha == "| b | 2 | [b.md](b.md) |" and index[-1].numero == 9
+
+
 LOG = "run_id string, ts timestamp, step string, model string, mse double, r2 double, accuracy double"
 
 

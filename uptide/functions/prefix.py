@@ -1,4 +1,4 @@
-"""Running totals that survive a key holding a large share of all rows."""
+"""Running totals and row numbers that survive a key holding a large share of all rows."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from uptide.session import stored
+
 
 def running_totals(
     df: DataFrame,
@@ -49,3 +51,18 @@ def running_totals(
         for o, c in totals.items()
     ]
     return joined.select(*df.columns, *result)
+
+
+def number_rows(df: DataFrame, order: Sequence[str], name: str = "numero") -> DataFrame:
+    """Add the row's number, from 1, in the order of the whole table.
+
+    The rows are range-partitioned and sorted once and written to the shared folder with their place; only the sizes of the
+    partitions, one row each, are summed in one task.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(placed.withColumns({"__part": F.spark_partition_id(), "__place": F.monotonically_increasing_id()}), "numbered")
+    parts = placed.groupBy("__part").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("__part", "__first", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+    number = F.col("__before") + F.col("__place") - F.col("__first") + 1
+    return placed.join(offsets, "__part").select(number.alias(name), *df.columns)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from uptide.functions.prefix import number_rows
 from uptide.functions.scalar import (
     format_day, format_int, format_month, format_pct, month_key, month_start, quality_label,
 )
+from uptide.session import stored
 
 # Fixed value: name of the group of all compounds outside the top ones.
 OTHERS = "Outros"
@@ -223,28 +227,59 @@ def formatted_kpis(kpis: DataFrame) -> DataFrame:
     )
 
 
+# Headings and fixed lines of the reports.
+TITLE = "# Relatório mensal por componente — "
+EVENT_LINES = ("", "## Manutenções registradas", "", "| Data | Evento | Dentro do período de produção? |", "|---|---|---|")
+NO_EVENT = "| — | _sem registros_ | — |"
+MONTH_LINES = ("", "## Produção mensal por composto", "", "| Ano-Mês | Composto | Qtd. produzida | % do total | Refugo | Dias com produção |", "|---|---|---:|---:|---:|---:|")
+COMPOUND_LINES = ("", "## Resumo por composto (período inteiro)", "", "| Composto | Qtd. produzida | % do total | Refugo | Meses com uso |", "|---|---:|---:|---:|---:|")
+PRESCRIPTION_TITLE = "## Prescrição da próxima manutenção"
+METHOD_LINES = (
+    "", "### Cálculo", "",
+    "- T_base: mediana dos dias em operação do equipamento; 450 sem histórico",
+    "- fator_desgaste: mediana das amplitudes ÷ amplitude atual, entre 0,60 e 1,20",
+    "- fator_massa: mediana das massas por janela ÷ massa desde a última troca, entre 0,70 e 1,30",
+    "- T_prescrito: T_base × fator_desgaste × fator_massa",
+    "- data_prescrita: última troca + T_prescrito + dias de ociosidade",
+    "", "### Valores", "", "| Campo | Valor |", "|---|---:|",
+)
+SCALE_LINES = ("", "### Urgência por dias restantes", "", "- abaixo de 0: ATRASADO", "- de 0 a 29: URGENTE", "- de 30 a 89: ATENÇÃO", "- 90 ou mais: OK")
+PRESCRIBED = (
+    "T_base_dias", "amplitude_a_atual", "amplitude_b_atual", "fator_desgaste", "massa_atual_kg",
+    "massa_mediana_janelas_kg", "fator_massa", "T_prescrito_dias", "dias_ociosidade",
+)
+INDEX_TITLE = "# Índice — relatórios mensais por componente"
+INDEX_COLUMNS = ("| Equipamento | Apontamentos | Arquivo |", "|---|---:|---|")
+
+
 def report_lines(cells: DataFrame, prescribed: DataFrame | None = None, history: DataFrame | None = None) -> DataFrame:
     """Lines ``(equipamento, secao, chave, linha)`` of one Markdown report per entity.
 
     A document is its lines ordered by ``secao`` and ``chave``. Lines stay rows: the text
     sink sorts them within files, so no document is ever assembled in memory. Every section
-    reads the inputs again, so hand in stored tables.
+    reads the inputs again, so hand in stored tables; the figures of the header are stored here.
     """
-    kpis = entity_kpis(cells)
+    kpis = stored(entity_kpis(cells), "kpis")
 
     def line(df: DataFrame, section: int, key, text) -> DataFrame:
         return df.select("equipamento", F.lit(section).alias("secao"), key.cast("string").alias("chave"), text.alias("linha"))
 
-    def fixed(section: int, *texts: str) -> DataFrame:
-        rows = F.array(*[F.struct(F.lit(f"{i:03d}").alias("chave"), F.lit(t).alias("linha")) for i, t in enumerate(texts)])
-        return kpis.select("equipamento", F.lit(section).alias("secao"), F.inline(rows))
+    def block(df: DataFrame, section: int, texts) -> DataFrame:
+        """Lines in the order of an array."""
+        rows = df.select("equipamento", F.lit(section).alias("secao"), F.posexplode(texts).alias("i", "linha"))
+        return rows.select("equipamento", "secao", F.format_string("%03d", "i").alias("chave"), "linha")
+
+    def fixed(section: int, texts: Sequence[str]) -> DataFrame:
+        return block(kpis, section, F.array(*[F.lit(t) for t in texts]))
 
     def cellrow(*columns):
         return F.concat(F.lit("| "), F.concat_ws(" | ", *columns), F.lit(" |"))
 
     k = {c: F.col(c) for c in kpis.columns}
+    name = k["equipamento"].cast("string")
     header = F.array(
-        F.concat(F.lit("# Relatório mensal por componente — "), k["equipamento"].cast("string")),
+        F.concat(F.lit(TITLE), name),
+        F.concat(F.lit("**Fonte:** `data/raw/"), name, F.lit(".csv`")),
         F.concat(F.lit("**Período coberto:** "), format_day(k["inicio"]), F.lit(" → "), format_day(k["fim"])),
         F.concat(F.lit("**Total produzido:** "), format_int(k["total_produzido"]), F.lit(" peças")),
         F.concat(
@@ -252,30 +287,25 @@ def report_lines(cells: DataFrame, prescribed: DataFrame | None = None, history:
         ),
         F.concat(F.lit("**Compostos distintos utilizados:** "), k["n_compostos"].cast("string")),
     )
-    parts = [
-        kpis.select("equipamento", F.lit(0).alias("secao"), F.posexplode(header).alias("i", "linha")).select(
-            "equipamento", "secao", F.format_string("%03d", "i").alias("chave"), "linha"
-        )
-    ]
+    parts = [block(kpis, 0, header)]
     if history is not None:
         from uptide.operators.events import events_in_period
 
         period = kpis.select(F.col("equipamento").alias("entity"), F.explode(F.array("inicio", "fim")).alias("day"))
         seen = events_in_period(history, period, ("✅ sim", "—"))
+        without = kpis.join(history.select("equipamento").distinct(), "equipamento", "left_anti")
         parts += [
-            fixed(1, "", "## Manutenções registradas", "", "| Data | Evento | Dentro do período de produção? |", "|---|---|---|"),
+            fixed(1, EVENT_LINES),
             line(
                 seen, 2, F.concat_ws("/", F.coalesce(F.col("data_evento").cast("string"), F.lit("9999")), F.col("evento")),
                 cellrow(F.col("data"), F.col("evento"), F.col("dentro_periodo")),
             ),
+            line(without, 2, F.lit(""), F.lit(NO_EVENT)),
         ]
     monthly = monthly_by_compound(cells)
     summary = compound_summary(cells)
     parts += [
-        fixed(
-            3, "", "## Produção mensal por composto", "",
-            "| Ano-Mês | Composto | Qtd. produzida | % do total | Refugo | Dias com produção |", "|---|---|---:|---:|---:|---:|",
-        ),
+        fixed(3, MONTH_LINES),
         line(
             monthly, 4, F.concat_ws("/", "ano_mes", "composto"),
             cellrow(
@@ -283,10 +313,7 @@ def report_lines(cells: DataFrame, prescribed: DataFrame | None = None, history:
                 format_int(F.col("ref")), F.col("dias").cast("string"),
             ),
         ),
-        fixed(
-            5, "", "## Resumo por composto (período inteiro)", "",
-            "| Composto | Qtd. produzida | % do total | Refugo | Meses com uso |", "|---|---:|---:|---:|---:|",
-        ),
+        fixed(5, COMPOUND_LINES),
         line(
             summary, 6, F.concat_ws("/", F.format_string("%020d", F.lit(10**18) - F.col("qtd")), F.col("composto")),
             cellrow(
@@ -307,35 +334,51 @@ def report_lines(cells: DataFrame, prescribed: DataFrame | None = None, history:
         known = prescribed.filter(F.col("data_prescrita").isNotNull()).join(
             kpis.select("equipamento"), "equipamento", "left_semi"
         )
-        names = [
-            "T_base_dias", "amplitude_a_atual", "amplitude_b_atual", "fator_desgaste", "massa_atual_kg",
-            "massa_mediana_janelas_kg", "fator_massa", "T_prescrito_dias", "dias_ociosidade",
-        ]
         texts = F.array(
             F.lit(""),
-            F.lit("## Prescrição da próxima manutenção"),
+            F.lit(PRESCRIPTION_TITLE),
             F.lit(""),
             F.concat(F.lit("**Data prescrita:** "), format_day(F.col("data_prescrita"))),
             F.concat(F.lit("**Data da última troca:** "), format_day(F.col("data_ultima_substituicao"))),
             F.concat(F.lit("**Data de referência (hoje):** "), format_day(F.col("data_referencia"))),
-            F.concat(F.lit("**Dias restantes:** "), F.col("dias_restantes").cast("string")),
+            F.concat(F.lit("**Dias restantes:** "), F.coalesce(F.col("dias_restantes").cast("string"), F.lit("—"))),
             F.concat(F.lit("**Urgência:** "), F.col("urgencia")),
-            F.lit(""),
-            F.lit("| Campo | Valor |"),
-            F.lit("|---|---:|"),
-            *[cellrow(F.lit(n), F.coalesce(F.col(n).cast("string"), F.lit("—"))) for n in names],
-        )
-        parts.append(
-            known.select("equipamento", F.lit(8).alias("secao"), F.posexplode(texts).alias("i", "linha")).select(
-                "equipamento", "secao", F.format_string("%03d", "i").alias("chave"), "linha"
-            )
+            *[F.lit(t) for t in METHOD_LINES],
+            *[cellrow(F.lit(n), F.coalesce(F.col(n).cast("string"), F.lit("—"))) for n in PRESCRIBED],
+            *[F.lit(t) for t in SCALE_LINES],
         )
+        parts.append(block(known, 8, texts))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
     return report
 
 
+def report_document(lines: DataFrame) -> DataFrame:
+    """All reports as one document: the lines with their numbers, entities in order."""
+    return number_rows(lines, ["equipamento", "secao", "chave", "linha"])
+
+
+def document_index(document: DataFrame) -> DataFrame:
+    """Where each entity's report lies in the document: first line and number of lines."""
+    return document.groupBy("equipamento").agg(F.min("numero").alias("primeira_linha"), F.count(F.lit(1)).alias("linhas"))
+
+
+def index_document(production: DataFrame, entity: str, as_of) -> DataFrame:
+    """The index as one document of numbered lines: title, date, number of entities, one line per entity."""
+    lines = report_index(production, entity).select(F.lit(1).alias("parte"), "equipamento", "linha")
+    head = lines.agg(
+        F.array(
+            F.lit(INDEX_TITLE), F.lit(""), F.concat(F.lit("_Gerado em "), format_day(F.lit(as_of).cast("date")), F.lit("._")),
+            F.concat(F.lit("_Equipamentos: "), F.count(F.lit(1)).cast("string"), F.lit("._")), F.lit(""), *[F.lit(t) for t in INDEX_COLUMNS],
+        ).alias("texts")
+    )
+    first = head.select(F.lit(0).alias("parte"), F.posexplode("texts").alias("i", "linha"))
+    return number_rows(
+        lines.withColumn("i", F.lit(0)).unionByName(first.withColumn("equipamento", F.lit(None).cast(lines.schema["equipamento"].dataType))), ["parte", "i", "equipamento"]
+    ).select("numero", "linha")
+
+
 def report_index(production: DataFrame, entity: str) -> DataFrame:
     """One index line per entity with its number of records."""
     counts = record_counts(production, entity)

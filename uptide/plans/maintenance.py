@@ -105,15 +105,17 @@ urg AS (SELECT *, CASE WHEN left_days IS NULL THEN 'DESCONHECIDO' WHEN left_days
     WHEN left_days < 30 THEN 'URGENTE' WHEN left_days < 90 THEN 'ATENÇÃO' ELSE 'OK' END AS urgencia FROM presc)"""
 
 
-@query(
-    "prescription",
-    f"""WITH {PRESCRIPTION_SQL}
-SELECT equipamento, CAST(last AS VARCHAR) AS data_ultima_substituicao, round(t_base, 1) AS "T_base_dias",
+PRESCRIPTION_ROWS_SQL = """SELECT equipamento, CAST(last AS VARCHAR) AS data_ultima_substituicao, round(t_base, 1) AS "T_base_dias",
   round(amp_a, 4) AS amplitude_a_atual, round(amp_b, 4) AS amplitude_b_atual, round(wear, 4) AS fator_desgaste,
   CAST(CAST(CAST(kg AS DECIMAL(20,7)) AS DECIMAL(20,2)) AS DOUBLE) AS massa_atual_kg,
   CAST(CAST(CAST(w_kg AS DECIMAL(20,6)) AS DECIMAL(20,2)) AS DOUBLE) AS massa_mediana_janelas_kg, round(mass_f, 4) AS fator_massa,
   CAST(round(CAST(CAST(t AS VARCHAR) AS DECIMAL(38,15)), 1) AS DOUBLE) AS "T_prescrito_dias", idle AS dias_ociosidade, CAST(due AS VARCHAR) AS data_prescrita,
-  '2000-07-01' AS data_referencia, left_days AS dias_restantes, urgencia FROM urg""",
+  '2000-07-01' AS data_referencia, left_days AS dias_restantes, urgencia FROM urg"""
+
+
+@query(
+    "prescription",
+    f"WITH {PRESCRIPTION_SQL} {PRESCRIPTION_ROWS_SQL}",
 )
 def prescription(spark: SparkSession, sf: str) -> DataFrame:
     recent = events.recent_history(a.customer_maintenance(spark, sf))

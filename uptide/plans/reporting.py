@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptide.operators import events, prescribe, reports
+from uptide.operators import events, reports
 from uptide.plans import adapters as a
+from uptide.plans.maintenance import PRESCRIPTION_ROWS_SQL, PRESCRIPTION_SQL, prescription
 from uptide.plans.registry import query, rounded
 from uptide.session import stored
 
@@ -21,11 +22,12 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-CELL_SQL = f"""{a.SUPPLIER_SQL},
-cell AS (SELECT entity AS equipamento, date_trunc('month', prod_ts) AS mes, compound AS composto, CAST(sum(qty_produced) AS BIGINT) AS qtd,
+def _cell_sql(source: str) -> str:
+    """Monthly cells and their roll-ups of records (entity, prod_ts, compound, qty_produced, qty_scrapped)."""
+    return f"""cell AS (SELECT entity AS equipamento, date_trunc('month', prod_ts) AS mes, compound AS composto, CAST(sum(qty_produced) AS BIGINT) AS qtd,
   CAST(sum(qty_scrapped) AS BIGINT) AS ref, count(DISTINCT CAST(prod_ts AS DATE)) AS dias, count(*) AS registros,
   min(CAST(prod_ts AS DATE)) AS lo, max(CAST(prod_ts AS DATE)) AS hi
-  FROM s_prod WHERE compound IS NOT NULL GROUP BY 1, 2, 3),
+  FROM {source} WHERE compound IS NOT NULL GROUP BY 1, 2, 3),
 tot AS (SELECT equipamento, CAST(sum(qtd) AS BIGINT) AS qtd, CAST(sum(ref) AS BIGINT) AS ref, count(DISTINCT mes) AS meses, count(DISTINCT composto) AS comps,
   CAST(sum(registros) AS BIGINT) AS registros, min(lo) AS lo, max(hi) AS hi FROM cell GROUP BY 1),
 comp AS (SELECT equipamento, composto, CAST(sum(qtd) AS BIGINT) AS qtd, CAST(sum(ref) AS BIGINT) AS ref, count(*) AS meses FROM cell GROUP BY 1, 2),
@@ -33,6 +35,9 @@ lead_ AS (SELECT *, row_number() OVER (PARTITION BY equipamento ORDER BY qtd DES
 mon AS (SELECT equipamento, mes, CAST(sum(qtd) AS BIGINT) AS qtd FROM cell GROUP BY 1, 2)"""
 
 
+CELL_SQL = f"{a.SUPPLIER_SQL},\n{_cell_sql('s_prod')}"
+
+
 @query(
     "monthly_by_compound",
     f"""WITH {CELL_SQL} SELECT c.equipamento, strftime(mes, '%Y-%m') AS ano_mes, composto, c.qtd, c.ref, dias,
@@ -155,23 +160,6 @@ def formatted_labels(spark: SparkSession, sf: str) -> DataFrame:
     return reports.formatted_kpis(reports.entity_kpis(cells(spark, sf)))
 
 
-@query(
-    "entity_report_text",
-    None,
-)
-def entity_report_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Report lines of every customer that produced, with events and prescription."""
-    production = a.customer_production(spark, sf).withColumn("compound", F.lit("linha única")).withColumn("scrap", F.lit(0))
-    customer_cells = reports.monthly_cells(
-        production, entity="entity", ts="prod_ts", compound="compound", produced="qty_produced", scrapped="scrap"
-    )
-    maintenance = a.customer_maintenance(spark, sf)
-    history = events.event_history(maintenance, a.customer_preventive(spark, sf))
-    ledger = events.daily_ledger(production, entity="entity", ts="prod_ts", quantity="qty_produced", mass="mass_kg_per_100")
-    prescribed = prescribe.prescription(events.recent_history(maintenance), history, ledger, a.AS_OF)
-    return reports.report_lines(stored(customer_cells, "cells"), stored(prescribed, "prescricao"), history)
-
-
 def _int_sql(c: str) -> str:
     return f"replace(format('{{:,}}', {c}), ',', '.')"
 
@@ -180,32 +168,90 @@ def _pct_sql(c: str) -> str:
     return f"replace(format('{{:.2f}}', {c}), '.', ',') || ' %'"
 
 
-FIXED_LINES_SQL = """(VALUES
-  (3, '000', ''), (3, '001', '## Produção mensal por composto'), (3, '002', ''),
-  (3, '003', '| Ano-Mês | Composto | Qtd. produzida | % do total | Refugo | Dias com produção |'), (3, '004', '|---|---|---:|---:|---:|---:|'),
-  (5, '000', ''), (5, '001', '## Resumo por composto (período inteiro)'), (5, '002', ''),
-  (5, '003', '| Composto | Qtd. produzida | % do total | Refugo | Meses com uso |'), (5, '004', '|---|---:|---:|---:|---:|')) f(secao, chave, linha)"""
+def _text_sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
-@query(
-    "compound_report_text",
-    f"""WITH {CELL_SQL}, h AS (SELECT equipamento, ['# Relatório mensal por componente — ' || equipamento,
-  '**Período coberto:** ' || strftime(lo, '%d/%m/%Y') || ' → ' || strftime(hi, '%d/%m/%Y'), '**Total produzido:** ' || {_int_sql("qtd")} || ' peças',
-  '**Total refugado:** ' || {_int_sql("ref")} || ' peças (' || {_pct_sql("CAST(ref AS DOUBLE) * 100 / qtd")} || ')',
-  '**Compostos distintos utilizados:** ' || comps] AS l FROM tot)
-SELECT equipamento, CAST(0 AS BIGINT) AS secao, lpad(CAST(i - 1 AS VARCHAR), 3, '0') AS chave, l[i] AS linha FROM h, range(1, 6) r(i)
-UNION ALL SELECT equipamento, CAST(secao AS BIGINT), chave, linha FROM tot, {FIXED_LINES_SQL}
-UNION ALL SELECT c.equipamento, 4, strftime(mes, '%Y-%m') || '/' || composto, '| ' || strftime(mes, '%Y-%m') || ' | ' || composto || ' | ' || {_int_sql("c.qtd")}
-  || ' | ' || {_pct_sql("CAST(c.qtd AS DOUBLE) * 100 / t.qtd")} || ' | ' || {_int_sql("c.ref")} || ' | ' || dias || ' |' FROM cell c JOIN tot t ON t.equipamento = c.equipamento
-UNION ALL SELECT c.equipamento, 6, lpad(CAST(1000000000000000000 - c.qtd AS VARCHAR), 20, '0') || '/' || composto, '| ' || composto || ' | ' || {_int_sql("c.qtd")}
-  || ' | ' || {_pct_sql("CAST(c.qtd AS DOUBLE) * 100 / t.qtd")} || ' | ' || {_int_sql("c.ref")} || ' | ' || c.meses || ' |' FROM comp c JOIN tot t ON t.equipamento = c.equipamento
-UNION ALL SELECT equipamento, 7, '0', '| **TOTAL** | **' || {_int_sql("qtd")} || '** | **100,00 %** | **' || {_int_sql("ref")} || '** | **' || meses || '** |' FROM tot""",
-)
+def _block_sql(source: str, section: int, texts: list[str]) -> str:
+    """Lines in the order of a list of expressions."""
+    return f"""SELECT equipamento, CAST({section} AS BIGINT) AS secao, lpad(CAST(i - 1 AS VARCHAR), 3, '0') AS chave, l[i] AS linha
+  FROM (SELECT *, [{", ".join(texts)}] AS l FROM {source}), range(1, {len(texts) + 1}) r(i)"""
+
+
+def _fixed_sql(section: int, texts) -> str:
+    return _block_sql("tot", section, [_text_sql(t) for t in texts])
+
+
+COMPOUND_TEXT_SQL = " UNION ALL ".join(
+    [
+        _block_sql(
+            "tot", 0,
+            [
+                f"{_text_sql(reports.TITLE)} || equipamento", "'**Fonte:** `data/raw/' || equipamento || '.csv`'",
+                "'**Período coberto:** ' || strftime(lo, '%d/%m/%Y') || ' → ' || strftime(hi, '%d/%m/%Y')", f"'**Total produzido:** ' || {_int_sql('qtd')} || ' peças'",
+                f"'**Total refugado:** ' || {_int_sql('ref')} || ' peças (' || {_pct_sql('CAST(ref AS DOUBLE) * 100 / qtd')} || ')'", "'**Compostos distintos utilizados:** ' || comps",
+            ],
+        ),
+        _fixed_sql(3, reports.MONTH_LINES),
+        _fixed_sql(5, reports.COMPOUND_LINES),
+        f"""SELECT c.equipamento, 4, strftime(mes, '%Y-%m') || '/' || composto, '| ' || strftime(mes, '%Y-%m') || ' | ' || composto || ' | ' || {_int_sql("c.qtd")}
+  || ' | ' || {_pct_sql("CAST(c.qtd AS DOUBLE) * 100 / t.qtd")} || ' | ' || {_int_sql("c.ref")} || ' | ' || dias || ' |' FROM cell c JOIN tot t ON t.equipamento = c.equipamento""",
+        f"""SELECT c.equipamento, 6, lpad(CAST(1000000000000000000 - c.qtd AS VARCHAR), 20, '0') || '/' || composto, '| ' || composto || ' | ' || {_int_sql("c.qtd")}
+  || ' | ' || {_pct_sql("CAST(c.qtd AS DOUBLE) * 100 / t.qtd")} || ' | ' || {_int_sql("c.ref")} || ' | ' || c.meses || ' |' FROM comp c JOIN tot t ON t.equipamento = c.equipamento""",
+        f"SELECT equipamento, 7, '0', '| **TOTAL** | **' || {_int_sql('qtd')} || '** | **100,00 %** | **' || {_int_sql('ref')} || '** | **' || meses || '** |' FROM tot",
+    ]
+)
+
+
+@query("compound_report_text", f"WITH {CELL_SQL} {COMPOUND_TEXT_SQL}")
 def compound_report_text(spark: SparkSession, sf: str) -> DataFrame:
     """Report lines of every supplier: header, months, compounds, total."""
     return reports.report_lines(stored(cells(spark, sf), "cells"))
 
 
+ENTITY_TEXT_SQL = f"""{PRESCRIPTION_SQL},
+rec AS (SELECT o_custkey AS entity, l_shipdate AS prod_ts, p_brand AS compound, CAST(l_quantity AS BIGINT) AS qty_produced,
+  CAST(floor(l_quantity * round(l_discount * 100) / 100) AS BIGINT) AS qty_scrapped FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey),
+{_cell_sql("rec")},
+p AS ({PRESCRIPTION_ROWS_SQL}),
+ev AS (SELECT equipamento, last AS d, 'Última troca' AS evento FROM c_log
+  UNION ALL SELECT equipamento, d, 'Preventiva (#' || coalesce(nullif(notes, ''), '?') || ')' FROM c_prev),
+lines AS ({COMPOUND_TEXT_SQL} UNION ALL {_fixed_sql(1, reports.EVENT_LINES)}
+UNION ALL SELECT e.equipamento, 2, CAST(d AS VARCHAR) || '/' || evento, '| ' || strftime(d, '%d/%m/%Y') || ' | ' || evento || ' | ' || CASE WHEN d BETWEEN lo AND hi THEN '✅ sim' ELSE '—' END || ' |'
+  FROM ev e JOIN tot t ON t.equipamento = e.equipamento
+UNION ALL SELECT equipamento, 2, '', {_text_sql(reports.NO_EVENT)} FROM tot WHERE equipamento NOT IN (SELECT equipamento FROM ev)
+UNION ALL {_block_sql("(SELECT * FROM p WHERE data_prescrita IS NOT NULL AND equipamento IN (SELECT equipamento FROM tot))", 8, [
+    "''", _text_sql(reports.PRESCRIPTION_TITLE), "''", *[f"'**{label}:** ' || strftime(CAST({c} AS DATE), '%d/%m/%Y')" for label, c in (
+        ("Data prescrita", "data_prescrita"), ("Data da última troca", "data_ultima_substituicao"), ("Data de referência (hoje)", "data_referencia"))],
+    "'**Dias restantes:** ' || coalesce(CAST(dias_restantes AS VARCHAR), '—')", "'**Urgência:** ' || urgencia", *[_text_sql(t) for t in reports.METHOD_LINES],
+    *[f"""'| {n} | ' || coalesce(CAST("{n}" AS VARCHAR), '—') || ' |'""" for n in reports.PRESCRIBED], *[_text_sql(t) for t in reports.SCALE_LINES]])}),
+numbered AS (SELECT row_number() OVER (ORDER BY equipamento, secao, chave, linha) AS numero, * FROM lines)"""
+
+
+def _entity_document(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports of every customer that produced, with events and prescription, as one document."""
+    parts = a.table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("compound"))
+    orders = a.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("entity"))
+    records = a.table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    scrap = F.floor(F.col("l_quantity") * F.round(F.col("l_discount") * 100) / 100).cast("bigint")
+    records = records.withColumns({"qty": F.col("l_quantity").cast("bigint"), "scrap": scrap})
+    customer_cells = reports.monthly_cells(records, entity="entity", ts="l_shipdate", compound="compound", produced="qty", scrapped="scrap")
+    history = events.event_history(a.customer_maintenance(spark, sf, measured=False), a.customer_preventive(spark, sf))
+    lines = reports.report_lines(stored(customer_cells, "cells"), stored(prescription(spark, sf), "prescricao"), stored(history, "history"))
+    return reports.report_document(lines)
+
+
+@query("entity_report_text", f"WITH {ENTITY_TEXT_SQL} SELECT numero, equipamento, secao, chave, linha FROM numbered")
+def entity_report_text(spark: SparkSession, sf: str) -> DataFrame:
+    return _entity_document(spark, sf)
+
+
+@query("entity_report_index", f"WITH {ENTITY_TEXT_SQL} SELECT equipamento, CAST(min(numero) AS BIGINT) AS primeira_linha, count(*) AS linhas FROM numbered GROUP BY equipamento")
+def entity_report_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each customer's report lies in the document."""
+    return reports.document_index(_entity_document(spark, sf))
+
+
 @query(
     "report_index",
     """SELECT l_suppkey AS equipamento, '| ' || l_suppkey || ' | ' || replace(format('{:,}', count(*)), ',', '.') || ' | [' || l_suppkey || '.md](' || l_suppkey || '.md) |' AS linha
@@ -213,3 +259,14 @@ FROM lineitem GROUP BY l_suppkey""",
 )
 def report_index(spark: SparkSession, sf: str) -> DataFrame:
     return reports.report_index(a.table(spark, sf, "lineitem"), "l_suppkey")
+
+
+@query(
+    "report_index_document",
+    f"""WITH e AS (SELECT l_suppkey AS s, count(*) AS n FROM lineitem GROUP BY 1),
+head AS (SELECT [{_text_sql(reports.INDEX_TITLE)}, '', '_Gerado em 01/07/2000._', '_Equipamentos: ' || count(*) || '._', '', {", ".join(_text_sql(t) for t in reports.INDEX_COLUMNS)}] AS l FROM e)
+SELECT CAST(i AS BIGINT) AS numero, l[i] AS linha FROM head, range(1, 8) r(i)
+UNION ALL SELECT 7 + row_number() OVER (ORDER BY s), '| ' || s || ' | ' || {_int_sql("n")} || ' | [' || s || '.md](' || s || '.md) |' FROM e""",
+)
+def report_index_document(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.index_document(a.table(spark, sf, "lineitem"), "l_suppkey", a.AS_OF)
