@@ -23,6 +23,7 @@ an empty result. Of several best unigram paths the one with longer last pieces i
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -63,7 +64,12 @@ class Vocabulary:
         self.unknown_score = min(self.scores.values(), default=0.0) - 10
         self.rank = {p: -s for p, s in self.scores.items() if len(p) > 1}
         self.fits: dict[tuple[str, str], bool] = {}
+        #: The same by numbers of pieces: first * ``width`` + second.
+        self.fits_by_id: dict[int, bool] = {}
+        #: Ids by segment: those met lately, and those met before. Full, the first become the second, so that frequent
+        #: segments, which move back when they are met again, are never lost.
         self.solved: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.automaton: ahocorasick.Automaton | None = None
         if self.bpe:
             self.halves = {}
@@ -74,18 +80,20 @@ class Vocabulary:
                 else:  # merges never make it
                     del self.rank[p]
             self.ids = {p: i for p, i in self.ids.items() if len(p) == 1 or p in self.rank}
+        self.names = {i: p for p, i in self.ids.items()}
+        self.width = max(self.names, default=0) + 1
 
     def matches(self) -> ahocorasick.Automaton:
         """Finds all pieces in a text; built in each worker."""
         if self.automaton is None:
             self.automaton = ahocorasick.Automaton()
             for p in self.ids:
-                self.automaton.add_word(p, (len(p), p))
+                self.automaton.add_word(p, (len(p), p, self.ids[p]))
             self.automaton.make_automaton()
         return self.automaton
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"automaton": None, "fits": {}, "solved": {}}
+        return self.__dict__ | {"automaton": None, "fits": {}, "fits_by_id": {}, "solved": {}, "older": {}}
 
     def merged(self, text: str) -> list[str]:
         """Characters merged by rank, the leftmost of equal ranks first."""
@@ -189,7 +197,7 @@ def solve(v: Vocabulary, s: str) -> list[str]:
     last: list[str | None] = [None] * (len(s) + 1)  # None: only the single character, which is outside the vocabulary
     if v.bpe:  # just one piece fits at each position
         fits, fitted = v.fits, 0
-        for end, (n, t) in v.matches().iter(s):
+        for end, (n, t, _) in v.matches().iter(s):
             p = end + 1
             if p == fitted:
                 continue
@@ -212,20 +220,66 @@ def solve(v: Vocabulary, s: str) -> list[str]:
     return path[::-1]
 
 
+def solve_ids(v: Vocabulary, s: str) -> list[int]:
+    """Ids of the best path of a whole segment."""
+    if not v.bpe:
+        return v.id_list(solve(v, s))
+    last, size = [-1] * (len(s) + 1), [1] * (len(s) + 1)  # -1: only the single character
+    known, width, fitted = v.fits_by_id, v.width, 0
+    if len(known) > 2 * KEPT_SEGMENTS:
+        known.clear()
+    for end, (n, t, i) in v.matches().iter(s):
+        p = end + 1
+        if p == fitted:  # just one piece fits at each position
+            continue
+        if p > n:
+            before = last[p - n]
+            if before < 0:
+                fit = v.fit(s[p - n - 1], t)
+            elif (fit := known.get(before * width + i)) is None:
+                fit = known[before * width + i] = v.fit(v.names[before], t)
+            if not fit:
+                continue
+        last[p], size[p], fitted = i, n, p
+    out, p = [], len(s)
+    while p:
+        if last[p] < 0:
+            out += reversed(v.id_list([s[p - 1]]))
+        else:
+            out.append(last[p])
+        p -= size[p]
+    out.reverse()
+    return out
+
+
+def _ids_of(v: Vocabulary, s: str) -> bytes:
+    """Ids of a segment, from those kept if it was met lately. Marks at its end that no piece joins to what is before are
+    looked up apart, so that a word before a full stop is the word."""
+    if (part := v.solved.get(s)) is not None:
+        return part
+    if (part := v.older.get(s)) is None:
+        end = len(s) - 1
+        while end > 0 and not s[end].isalnum() and s[end - 1 : end + 1] in v.inside:
+            end -= 1
+        if end > 0 and not s[end].isalnum():
+            part = _ids_of(v, s[:end]) + _ids_of(v, s[end:])
+        else:
+            part = array("i", solve_ids(v, s)).tobytes()
+    if len(s) <= KEPT_CHARS:
+        if len(v.solved) >= KEPT_SEGMENTS // 2:
+            v.older, v.solved = v.solved, {}
+        v.solved[s] = part
+    return part
+
+
 def encode_raw(v: Vocabulary, text: str | None) -> bytes:
     """Ids of one text in one piece of work, as 32-bit numbers."""
-    solved = v.solved
     segments = v.segment.findall(normalised(text or ""))
-    parts = list(map(solved.get, segments))
-    if None in parts:
-        for i, part in enumerate(parts):
-            if part is None and (part := solved.get(s := segments[i])) is None:
-                part = np.array(v.id_list(solve(v, s)), np.int32).tobytes()
-                if len(s) <= KEPT_CHARS:
-                    if len(solved) >= KEPT_SEGMENTS:
-                        solved.clear()
-                    solved[s] = part
-            parts[i] = part
+    parts = list(map(v.solved.get, segments))
+    at = -1
+    for _ in range(parts.count(None)):
+        at = parts.index(None, at + 1)
+        parts[at] = _ids_of(v, segments[at])
     return b"".join(parts)
 
 
