@@ -4,7 +4,7 @@ import statistics
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tests.conftest import rows
 from uptide.functions import scalar as s
@@ -154,3 +154,17 @@ def test_running_totals_of_null_keys_and_blocks(spark):
     df = spark.createDataFrame(data, "k string, t int, v long")
     found = running_totals(df, keys=["k"], order=["t"], block=F.col("t"), totals={"total": "v"})
     assert {(r["k"], r["t"]): r["total"] for r in found.collect()} == {(None, 1): None, (None, 2): None, ("a", None): 1, ("a", 1): 3, ("a", 2): 7}
+
+
+@pytest.mark.parametrize("kind", ["date", "int", "decimal(9,2)", "string", "timestamp"])
+def test_running_totals_meet_their_blocks_in_one_exchange(spark, kind):
+    """Rows and block sums are dealt once by key and block, to partitions that stay apart; NULL blocks come first."""
+    given = [(k, t, v) for k in ("a", "b", None) for t, v in ((None, 5), (None, 7), (1, 1), (1, None), (2, 4))]
+    block = {"date": "date_add(date'1969-12-30', t)", "string": "cast(t as string)", "timestamp": "timestamp_seconds(t)"}.get(kind, f"cast(t - 1 as {kind})")
+    df = spark.createDataFrame(given, "k string, t int, v long").withColumn("i", F.monotonically_increasing_id())
+    found = running_totals(df, keys=["k"], order=["t", "i"], block=F.expr(block), totals={"total": "v"})
+    assert found.columns == [*df.columns, "total"]
+    want = [(k, t, v, total) for k in ("a", "b", None) for (t, v), total in zip(((None, 5), (None, 7), (1, 1), (1, None), (2, 4)), (5, 12, 13, None, 17) if k else [None] * 5)]
+    assert sorted(map(str, found.select("k", "t", "v", "total").collect())) == sorted(str(Row(k=k, t=t, v=v, total=x)) for k, t, v, x in want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("Exchange") == 4, plan

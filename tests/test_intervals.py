@@ -25,6 +25,36 @@ def test_interval_join_equals_all_pairs(spark, monkeypatch, share):
     }
 
 
+def test_interval_totals_do_not_meet_the_pairs(spark, monkeypatch):
+    """A point for each whole number and windows over nearly all of them: 400 million pairs, none of which is built."""
+    n = 20_000
+    monkeypatch.setattr(intervals, "interval_join", None)
+    p = spark.range(n).selectExpr("'hot' as k", "id as t", "if(id % 2 = 0, id, null) as v", "cast(id as decimal(12, 2)) as d")
+    w = spark.range(n).selectExpr("'hot' as k", "id % 10 - 5 as s", f"{n} - id % 7 as e", "id as j")
+    w = w.unionAll(spark.createDataFrame([("hot", 3, 4, -1), ("hot", 9, 9, -2), ("hot", None, 9, -3), ("cold", 0, 9, -4), (None, 0, 9, -5), ("hot", 4, 8, -6), ("hot", 10, 12, -6)], "k string, s long, e long, j long"))
+    found = intervals.interval_totals(p, w, ["v", "d"], key="k", at="t", start="s", end="e", name="j")
+    assert [f.dataType.simpleString() for f in found.schema.fields[-2:]] == ["bigint", "decimal(22,2)"]
+    got = found.selectExpr("j", "points", "v", "cast(d as long) d").collect()
+    assert len(got) == n + 7
+    for j, points, v, d in got:
+        if j >= 0:
+            lo, hi = max(0, j % 10 - 5), n - j % 7
+            assert (points, v, d) == (hi - lo, sum(range(lo + lo % 2, hi, 2)), (lo + hi - 1) * (hi - lo) // 2)
+    # One odd point has no known value; a name given twice has the totals of both its windows.
+    assert sorted(tuple(r) for r in got if r["j"] == -1) == [(-1, 1, None, 3)]
+    assert sorted(tuple(r) for r in got if r["j"] == -6) == [(-6, 6, 4 + 6 + 10, 4 + 5 + 6 + 7 + 10 + 11)] * 2
+    assert sorted(tuple(r) for r in got if -6 < r["j"] < -1) == [(j, 0, None, None) for j in (-5, -4, -3, -2)]
+
+
+def test_interval_totals_of_fractions_and_of_nothing(spark):
+    p = spark.createDataFrame([("a", 1, 1e300), ("a", 5, 0.1), ("a", 6, None)], "k string, t long, v double")
+    w = spark.createDataFrame([("a", 5, 7, 1), ("a", 0, 2, 2), ("a", 6, 7, 3)], "k string, s long, e long, j long")
+    named = {"key": "k", "at": "t", "start": "s", "end": "e", "name": "j"}
+    assert rows(intervals.interval_totals(p, w, ["v"], **named), "j", "points", "v") == [(1, 2, 0.1), (2, 1, 1e300), (3, 1, None)]
+    p = spark.createDataFrame([], "k string, t long, v long")
+    assert rows(intervals.interval_totals(p, w, ["v"], **named), "j", "points", "v") == [(1, 0, None), (2, 0, None), (3, 0, None)]
+
+
 def test_interval_join_of_nothing(spark):
     p, w = spark.createDataFrame([], "k string, t long"), spark.createDataFrame([], "k string, s long, e long")
     assert intervals.interval_join(p, w, key="k", at="t", start="s", end="e").collect() == []
