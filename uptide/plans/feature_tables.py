@@ -8,6 +8,7 @@ from uptide.operators import features, stats
 from uptide.operators.events import MEASURES
 from uptide.plans import adapters as a
 from uptide.plans.registry import query, rounded
+from uptide.session import spread
 
 TIEBREAK = ["order_id", "line_no", "product", "qty_produced", "mass_kg_per_100", "qty_scrapped", "qty_reworked", "unit"]
 TIEBREAK_SQL = ", ".join(TIEBREAK)
@@ -20,9 +21,9 @@ tt AS (SELECT * FROM t WHERE target >= 0)"""
 
 
 def target(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    return features.maintenance_target(
-        a.supplier_production(spark, sf), a.supplier_maintenance(spark, sf), carry=carry
-    )
+    """Both sides dealt by supplier, whose narrow records and daily sums would fill the memory of merged partitions."""
+    production, sheet = (spread(x, "entity") for x in (a.supplier_production(spark, sf), a.supplier_maintenance(spark, sf)))
+    return features.maintenance_target(production, sheet, carry=carry)
 
 
 @query(
