@@ -4,11 +4,13 @@ import zipfile
 from xml.sax.saxutils import escape
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from uptide import schema
 from uptide.operators import ml, reports
 from uptide.plans import stages
+from uptide.session import LISTING
 from uptide.sources import listing, readers, sinks, workbooks
 from uptide.streaming import ingest
 
@@ -280,3 +282,18 @@ def test_many_columns_repeated_names_and_large_files(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert readers.read_entity_files(spark, str(tmp_path), "none*.csv").count() == 0
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """A folder per supplier must not mean a task per supplier."""
+    path, tasks = str(tmp_path / "split"), 4 * spark.sparkContext.defaultParallelism
+    rows = spark.range(2 * tasks + 5).select(F.col("id").alias("entity"), F.lit(1).alias("n"))
+    rows.coalesce(1).write.partitionBy("entity").parquet(path)
+    before = spark.conf.get(LISTING)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    found = readers.read_stage(spark, path, columns=rows.schema)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= tasks
+    assert spark.conf.get(LISTING) == before and found.count() == 2 * tasks + 5

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +53,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextlib.contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by four tasks per core, not by a task each (up to 10,000), whose starts take longer than the listing."""
+    before = spark.conf.get(LISTING, None)
+    spark.conf.set(LISTING, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(LISTING) if before is None else spark.conf.set(LISTING, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table that several steps read to the shared folder, and read it back.
 

@@ -12,6 +12,7 @@ from uptide.functions.scalar import parse_timestamp, safe_double
 from uptide.operators.clean import combine_sources, drop_key_duplicates, with_entity_prefix
 from uptide.operators.events import MEASURES
 from uptide.operators.features import DEFAULT_INTERVAL_DAYS, with_defaults
+from uptide.session import few_listing_tasks
 from uptide.sources.layouts import list_paths, read_layouts
 from uptide.sources.workbooks import named_cells, read_cells
 
@@ -225,4 +226,5 @@ def read_stage(spark: SparkSession, path: str, kind: str = "parquet", columns: T
     if kind == "csv" and columns is None:
         raise ValueError("CSV stages are read with a schema")
     reader = spark.read.schema(columns) if columns is not None else spark.read
-    return reader.format(kind).option("header", True).option("enforceSchema", False).load(path)
+    with few_listing_tasks(spark):
+        return reader.format(kind).option("header", True).option("enforceSchema", False).load(path)

@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from uptide.operators.clean import only_new_rows
+from uptide.session import few_listing_tasks
 
 
 def split_by_entity(df: DataFrame, path: str, entity: str = "entity", mode: str = "append") -> None:
@@ -15,7 +16,8 @@ def split_by_entity(df: DataFrame, path: str, entity: str = "entity", mode: str
 
 def append_production(spark: SparkSession, incoming: DataFrame, path: str, entity: str = "entity") -> None:
     """Append the rows a per-entity table does not hold yet; one atomic write."""
-    existing = spark.read.schema(_partition_last(incoming, entity)).parquet(path).select(*incoming.columns)
+    with few_listing_tasks(spark):
+        existing = spark.read.schema(_partition_last(incoming, entity)).parquet(path).select(*incoming.columns)
     split_by_entity(only_new_rows(existing, incoming), path, entity)
 
 
