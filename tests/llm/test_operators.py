@@ -499,6 +499,15 @@ def test_mixing_of_many_tiny_sources(spark):
     assert all(abs(r["taken"] - r["target"]) <= 1 + 0.01 * r["target"] for r in out) and len(out) == 41
 
 
+def test_mixing_keeps_its_plan_small_and_counts_words_without_arrays(spark, frame):
+    plan = mixing.mix(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1  # the apportionments are computed apart
+    texts = ["a\x0bb\xa0c\x85d  e\n", "", " \t\x0c\r", None, "é 日本 w"]
+    counts = spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.n_words(mixing.F.col("t")).alias("n"))
+    assert [r["n"] for r in counts.collect()] == [3, 0, 0, None, 3]
+    assert "extract_all" not in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_mixing_matches_sql(spark, frame, tmp_path):
     from tools.compare import compare
 

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from uptide.llm.common import WORD, cut
+from uptide.llm.common import WHITE, WORD, cut
+from uptide.session import stored
 
 #: Fixed by the contract: weights of the sources in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -37,6 +38,11 @@ def _digits(key: Column, start: int) -> Column:
     return F.conv(F.substring(key, start, 8), 16, 10).cast("long")
 
 
+def n_words(text: Column) -> Column:
+    """Number of words: each becomes one letter, white space goes. A count of matches would hold all words of a text as an array."""
+    return F.length(F.translate(F.regexp_replace(text, WORD, "w"), WHITE, ""))
+
+
 def apportion(parties: DataFrame, group: list[str], votes: str, seats: str, capacity: str, order: list[Column]) -> DataFrame:
     """Sainte-Laguë: adds ``quota``, the party's share of the group's ``seats`` (a column equal within the group).
 
@@ -85,7 +91,7 @@ def mix(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.coalesce(n_words(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("size"),
             F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("__key"),
         )
     )
@@ -93,6 +99,8 @@ def mix(
     block = F.least(F.lit(block_words), F.greatest(F.floor(F.col("source_size") / BLOCK_SHARE), F.lit(1))).cast("long")
     shards = F.greatest(F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("__rows") / SHARD_ROWS), F.lit(1)).cast("long")
     targets = targets.withColumn("__block", block).withColumn("__shards", shards).withColumn("__seats", F.round(F.col("quota") / F.col("__block")).cast("long"))
+    # Few rows, written once, as are the quotas: the plans over all documents stay two joins and one window.
+    targets = stored(targets, "targets")
     columns = ["doc_id", F.col("d.source").alias("source"), "size", "__key", "source_size", "target", "__seats", "__block", "__party"]
     placed = (
         sized.alias("d")
@@ -113,6 +121,7 @@ def mix(
     quotas = apportion(parts, ["__src", "__group"], "__votes_in", "__seats", "__capacity", [F.col("__party")]).select(
         "__src", F.col("__party").alias("__shard"), "__blocks", "quota"
     )
+    quotas = stored(quotas, "quotas")
     start = F.sum("size").over(Window.partitionBy("__src", "__shard").orderBy("__key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     blocks = F.greatest(F.col("__blocks"), F.lit(1))
     offset = _digits(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__src"), F.col("__shard"))), 1) % blocks
