@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from uptide.operators import incremental, reports, runlog
+from uptide.session import stored_by
 
 T, D = datetime.datetime, datetime.date
 
@@ -90,6 +91,25 @@ def test_documents_are_numbered_over_parts(spark, cells):
         assert ordered[first - 1].linha == reports.TITLE + entity and {r.equipamento for r in ordered[first - 1 : first - 1 + n]} == {entity}
 
 
+def test_sections_by_entity_are_numbered_without_an_exchange(spark):
+    records = [(f"E{i % 7}", D(2024, 1 + i % 3, 1 + i % 5), None if i % 11 == 0 else "ABC"[i % 3], 10 + i, i % 4) for i in range(90)]
+    df = spark.createDataFrame(records, "e string, ts date, c string, q bigint, s bigint")
+    cells = reports.monthly_cells(df, entity="e", ts="ts", compound="c", produced="q", scrapped="s", by_entity=True)
+    history = spark.createDataFrame([("E1", D(2024, 1, 20), "PREVENTIVA", "#7")], "equipamento string, data_evento date, tipo_evento string, observacoes string")
+    by_entity = stored_by(cells, "cells", "equipamento", dealt=True)
+    for events in (None, history):
+        lines = reports.report_lines(cells, history=events).collect()
+        document = reports.report_document(reports.report_sections(by_entity, history=events))
+        want = sorted(map(tuple, lines), key=lambda r: r[:4])
+        assert [tuple(r) for r in document.orderBy("numero").collect()] == [(n, *r) for n, r in enumerate(want, 1)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        document = reports.report_document(reports.report_sections(by_entity))
+        assert "Exchange" not in document._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_report_sections_without_events(spark, cells):
     history = spark.createDataFrame([("E1", D(2024, 1, 20), "PREVENTIVA", "#7")], "equipamento string, data_evento date, tipo_evento string, observacoes string")
     lines = reports.report_lines(cells, history=history).filter("secao = 2").collect()

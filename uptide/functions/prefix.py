@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from uptide.session import spread, stored
+from uptide.session import spread, stored, stored_by
 
 
 def running_totals(
@@ -66,3 +66,30 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "numero") -> Da
     offsets = parts.select("__part", "__first", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
     number = F.col("__before") + F.col("__place") - F.col("__first") + 1
     return placed.join(offsets, "__part").select(number.alias(name), *df.columns)
+
+
+def number_sections(sections: Sequence[DataFrame], key: str, section: str, order: Sequence[str], name: str = "numero") -> DataFrame:
+    """As ``number_rows`` by ``key``, ``section`` and ``order``, of frames that hold one section each; keys are not NULL.
+
+    A row's number is the number of rows of earlier keys and sections plus its place in its own section. Only the sizes, one row
+    per key and section, are sorted over the whole table; frames that are stored by ``key`` are numbered without an exchange.
+    """
+    sizes = None
+    for rows in sections:
+        size = rows.groupBy(key, section).agg(F.count(F.lit(1)).alias("__rows"))
+        sizes = size if sizes is None else sizes.unionByName(size)
+    sizes = stored(sizes.repartitionByRange(key, section).withColumn("__part", F.spark_partition_id()), "sizes")
+    parts = sizes.groupBy("__part").agg(F.sum("__rows").alias("__all"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__part", F.coalesce(F.sum("__all").over(earlier), F.lit(0)).alias("__earlier"))
+    inside = Window.partitionBy("__part").orderBy(key, section).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.sum("__rows").over(inside) - F.col("__rows")
+    offsets = sizes.withColumn("__before", before).join(parts, "__part").select(key, section, (F.col("__before") + F.col("__earlier")).alias("__before"))
+    offsets = stored_by(offsets, "offsets", key)
+    place = F.row_number().over(Window.partitionBy(key, section).orderBy(*order))
+    numbered = None
+    for rows in sections:
+        part = rows.withColumn("__place", place).join(offsets, [key, section])
+        part = part.select((F.col("__before") + F.col("__place")).alias(name), *rows.columns)
+        numbered = part if numbered is None else numbered.unionByName(part)
+    return numbered

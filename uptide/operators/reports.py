@@ -6,24 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from uptide.functions.prefix import number_rows
+from uptide.functions.prefix import number_rows, number_sections
 from uptide.functions.scalar import (
     format_day, format_int, format_month, format_pct, month_key, month_start, quality_label,
 )
-from uptide.session import stored
+from uptide.session import spread, stored_by
 
 # Fixed value: name of the group of all compounds outside the top ones.
 OTHERS = "Outros"
 
 
 def monthly_cells(
-    production: DataFrame, *, entity: str, ts: str, compound: str, produced: str, scrapped: str
+    production: DataFrame, *, entity: str, ts: str, compound: str, produced: str, scrapped: str, by_entity: bool = False
 ) -> DataFrame:
     """Production per entity, month and compound, with the number of production days.
 
     Days are counted by aggregating to days first, which spreads a busy entity over its
     days and needs no distinct-expansion of the rows. Records without a compound or date
-    stay as cells with a NULL: they count in an entity's totals, not in its lists.
+    stay as cells with a NULL: they count in an entity's totals, not in its lists. ``by_entity``
+    deals the days, calendar-many a compound, by the entity, for cells that are stored by it.
     """
     days = (
         production.filter(F.col(entity).isNotNull())
@@ -34,6 +35,8 @@ def monthly_cells(
             F.count(F.lit(1)).alias("registros"),
         )
     )
+    if by_entity:
+        days = spread(days, "equipamento")
     return days.groupBy("equipamento", month_start(F.col("day")).alias("mes"), "composto").agg(
         F.sum("qtd").alias("qtd"),
         F.sum("ref").alias("ref"),
@@ -86,30 +89,32 @@ def compound_rollup(cells: DataFrame) -> DataFrame:
 def entity_kpis(cells: DataFrame) -> DataFrame:
     """Header figures per entity, the leading compound and its share, and the quality verdict.
 
-    Compounds and months are two grouping sets of one aggregation over the cells.
+    The first cell of each month counts the month; compounds are summed before the entity is, so nothing is expanded.
     """
-    by_compound = F.col("g") == 1
-    named = by_compound & F.col("composto").isNotNull()
-    both = cells.groupingSets(
-        [["equipamento", "composto"], ["equipamento", "mes"]], "equipamento", "composto", "mes"
-    ).agg(
-        F.grouping("mes").alias("g"),
-        F.sum("qtd").alias("qtd"),
-        F.sum("ref").alias("ref"),
-        F.sum("registros").alias("registros"),
-        F.min("first_day").alias("first_day"),
-        F.max("last_day").alias("last_day"),
+    first = F.row_number().over(Window.partitionBy("equipamento", "mes").orderBy("composto")) == 1
+    compounds = (
+        cells.withColumn("novo", (first & F.col("mes").isNotNull()).cast("int"))
+        .groupBy("equipamento", "composto")
+        .agg(
+            F.sum("qtd").alias("qtd"),
+            F.sum("ref").alias("ref"),
+            F.sum("registros").alias("registros"),
+            F.min("first_day").alias("first_day"),
+            F.max("last_day").alias("last_day"),
+            F.sum("novo").alias("meses"),
+        )
     )
-    head = both.groupBy("equipamento").agg(
-        F.sum(F.when(by_compound, F.col("qtd"))).alias("total_produzido"),
-        F.sum(F.when(by_compound, F.col("ref"))).alias("total_refugado"),
+    named = F.col("composto").isNotNull()
+    head = compounds.groupBy("equipamento").agg(
+        F.sum("qtd").alias("total_produzido"),
+        F.sum("ref").alias("total_refugado"),
         F.min("first_day").alias("inicio"),
         F.max("last_day").alias("fim"),
         F.count_if(named).alias("n_compostos"),
-        F.sum(F.when(by_compound, F.col("registros"))).alias("registros"),
+        F.sum("registros").alias("registros"),
         F.min_by("composto", F.when(named, F.struct(-F.col("qtd"), F.col("composto")))).alias("composto_lider"),
         F.max(F.when(named, F.col("qtd"))).alias("qtd_lider"),
-        F.count(F.when(~by_compound, F.col("mes"))).alias("n_meses"),
+        F.sum("meses").alias("n_meses"),
     )
     rate = F.coalesce(F.try_divide(F.col("total_refugado").cast("double") * 100, F.col("total_produzido")), F.lit(0.0))
     return (
@@ -256,10 +261,20 @@ def report_lines(cells: DataFrame, prescribed: DataFrame | None = None, history:
     """Lines ``(equipamento, secao, chave, linha)`` of one Markdown report per entity.
 
     A document is its lines ordered by ``secao`` and ``chave``. Lines stay rows: the text
-    sink sorts them within files, so no document is ever assembled in memory. Every section
-    reads the inputs again, so hand in stored tables; the figures of the header are stored here.
+    sink sorts them within files, so no document is ever assembled in memory.
     """
-    kpis = stored(entity_kpis(cells), "kpis")
+    report, *others = report_sections(cells, prescribed, history)
+    for section in others:
+        report = report.unionByName(section)
+    return report
+
+
+def report_sections(cells: DataFrame, prescribed: DataFrame | None = None, history: DataFrame | None = None) -> list[DataFrame]:
+    """The lines of ``report_lines``, a frame per section.
+
+    Every section reads the inputs again, so hand in stored tables, the cells by entity; the figures of the header are stored here.
+    """
+    kpis = stored_by(entity_kpis(cells), "kpis", "equipamento")
 
     def line(df: DataFrame, section: int, key, text) -> DataFrame:
         return df.select("equipamento", F.lit(section).alias("secao"), key.cast("string").alias("chave"), text.alias("linha"))
@@ -299,8 +314,7 @@ def report_lines(cells: DataFrame, prescribed: DataFrame | None = None, history:
             line(
                 seen, 2, F.concat_ws("/", F.coalesce(F.col("data_evento").cast("string"), F.lit("9999")), F.col("evento")),
                 cellrow(F.col("data"), F.col("evento"), F.col("dentro_periodo")),
-            ),
-            line(without, 2, F.lit(""), F.lit(NO_EVENT)),
+            ).unionByName(line(without, 2, F.lit(""), F.lit(NO_EVENT))),
         ]
     monthly = monthly_by_compound(cells)
     summary = compound_summary(cells)
@@ -348,15 +362,14 @@ def report_lines(cells: DataFrame, prescribed: DataFrame | None = None, history:
             *[F.lit(t) for t in SCALE_LINES],
         )
         parts.append(block(known, 8, texts))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return parts
 
 
-def report_document(lines: DataFrame) -> DataFrame:
-    """All reports as one document: the lines with their numbers, entities in order."""
-    return number_rows(lines, ["equipamento", "secao", "chave", "linha"])
+def report_document(lines: DataFrame | Sequence[DataFrame]) -> DataFrame:
+    """All reports as one document: the lines, in one frame or a frame per section, with their numbers, entities in order."""
+    if isinstance(lines, DataFrame):
+        return number_rows(lines, ["equipamento", "secao", "chave", "linha"])
+    return number_sections(lines, "equipamento", "secao", ["chave", "linha"])
 
 
 def document_index(document: DataFrame) -> DataFrame:

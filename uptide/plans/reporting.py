@@ -8,10 +8,10 @@ from uptide.operators import events, reports
 from uptide.plans import adapters as a
 from uptide.plans.maintenance import PRESCRIPTION_ROWS_SQL, PRESCRIPTION_SQL, prescription
 from uptide.plans.registry import query, rounded
-from uptide.session import stored
+from uptide.session import stored, stored_by
 
 
-def cells(spark: SparkSession, sf: str) -> DataFrame:
+def cells(spark: SparkSession, sf: str, *, by_entity: bool = False) -> DataFrame:
     return reports.monthly_cells(
         a.supplier_production(spark, sf),
         entity="entity",
@@ -19,6 +19,7 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
         compound="compound",
         produced="qty_produced",
         scrapped="qty_scrapped",
+        by_entity=by_entity,
     )
 
 
@@ -206,7 +207,7 @@ COMPOUND_TEXT_SQL = " UNION ALL ".join(
 @query("compound_report_text", f"WITH {CELL_SQL} {COMPOUND_TEXT_SQL}")
 def compound_report_text(spark: SparkSession, sf: str) -> DataFrame:
     """Report lines of every supplier: header, months, compounds, total."""
-    return reports.report_lines(stored(cells(spark, sf), "cells"))
+    return reports.report_lines(stored_by(cells(spark, sf, by_entity=True), "cells", "equipamento", dealt=True))
 
 
 ENTITY_TEXT_SQL = f"""{PRESCRIPTION_SQL},
@@ -235,10 +236,12 @@ def _entity_document(spark: SparkSession, sf: str) -> DataFrame:
     records = a.table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     scrap = F.floor(F.col("l_quantity") * F.round(F.col("l_discount") * 100) / 100).cast("bigint")
     records = records.withColumns({"qty": F.col("l_quantity").cast("bigint"), "scrap": scrap})
-    customer_cells = reports.monthly_cells(records, entity="entity", ts="l_shipdate", compound="compound", produced="qty", scrapped="scrap")
+    customer_cells = reports.monthly_cells(records, entity="entity", ts="l_shipdate", compound="compound", produced="qty", scrapped="scrap", by_entity=True)
     history = events.event_history(a.customer_maintenance(spark, sf, measured=False), a.customer_preventive(spark, sf))
-    lines = reports.report_lines(stored(customer_cells, "cells"), stored(prescription(spark, sf), "prescricao"), stored(history, "history"))
-    return reports.report_document(lines)
+    by_customer = stored_by(customer_cells, "cells", "equipamento", dealt=True)
+    prescribed = stored_by(prescription(spark, sf), "prescricao", "equipamento")
+    sections = reports.report_sections(by_customer, prescribed, stored(history, "history"))
+    return reports.report_document(sections)
 
 
 @query("entity_report_text", f"WITH {ENTITY_TEXT_SQL} SELECT numero, equipamento, secao, chave, linha FROM numbered")

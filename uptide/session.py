@@ -75,3 +75,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_by(df: DataFrame, purpose: str, key: str, *, dealt: bool = False) -> DataFrame:
+    """As ``stored``, in one bucket of rows per shuffle partition by ``key``: grouping, windows and joins by it need no exchange.
+
+    A key's rows are read by one task, so there must be few of them per key. ``dealt`` rows come from ``spread`` by the key.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_folder(spark, purpose)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    (df if dealt else spread(df, key)).write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
