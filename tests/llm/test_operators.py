@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import tempfile
+import time
 
 import numpy as np
 import pytest
@@ -386,6 +387,22 @@ def test_suffix_dedup_of_rules_and_passages_twice_under_hot_keys(spark, monkeypa
         assert plain(suffix_dedup.substring_report(spark.createDataFrame(rows, SCHEMA).repartition(parts))) == brute_substrings(rows)
 
 
+def test_suffix_dedup_frees_the_shuffle_of_its_pieces(frame, docs):
+    """It is larger than the input: it must not stay on disk beside the shuffles of texts and bytes that follow."""
+    disk = frame.sparkSession.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set[str]:
+        return {name for path in disk.getAllFiles().mkString("\n").split("\n") if (name := path.rpartition("/")[2]).startswith("shuffle_")}
+
+    before = shuffles()
+    report = suffix_dedup.substring_report(frame)
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert plain(report) == brute_substrings(docs)
+
+
 def test_suffix_dedup_of_nothing(empty):
     assert suffix_dedup.substring_report(empty).collect() == []
 
