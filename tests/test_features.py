@@ -138,3 +138,22 @@ def test_a_busy_entity_is_spread(spark):
     assert tuple(top) == (n - n // 100,) * 3
     sizes = [r[0] for r in hot.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
     assert max(sizes) < 0.6 * sum(sizes)
+
+
+def test_days_of_running_totals_are_grouped_where_they_are(spark):
+    """Records lie by entity and day after their running totals: the day grain must not shuffle them again."""
+    fact = spark.createDataFrame(
+        [
+            ("E1", T(2024, 1, 1), 2, 10), ("E1", T(2024, 1, 1), 1, 5), ("E1", T(2024, 1, 2), 3, 1), ("E2", T(2024, 1, 1), 4, None),
+            ("E2", None, 5, 3), ("E2", T(1970, 1, 1), 6, 4), (None, T(2024, 1, 1), 7, 2), (None, None, 8, 1), ("E1", T(2024, 1, 2), 3, 1),
+        ],
+        FACT,
+    )
+    grain = {"sums": ["qty_produced"], "means": ["order_id"], "maxima": ["qty_produced_acumulado"]}
+    kept = features.cumulative_features(fact, ["qty_produced"], tiebreak=["order_id"], keep_place=True)
+    daily = features.entity_day_grain(kept, **grain)
+    exchanges = [df._jdf.queryExecution().executedPlan().toString().count("Exchange ") for df in (kept, daily)]
+    assert exchanges[0] == exchanges[1] > 0
+    plain = features.entity_day_grain(features.cumulative_features(fact, ["qty_produced"], tiebreak=["order_id"]), **grain)
+    assert daily.schema == plain.schema and rows(daily) == rows(plain)
+    assert ("E2", None, 3, 5.0, 3) in rows(daily) and ("E2", D(1970, 1, 1), 4, 6.0, 7) in rows(daily)
