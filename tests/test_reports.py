@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from uptide.operators import incremental, reports, runlog
-from uptide.session import stored_by
+from uptide.session import stored, stored_by
 
 T, D = datetime.datetime, datetime.date
 
@@ -151,3 +151,15 @@ def test_detect_changes(spark):
     assert rows(changes, "category", "name", "change") == [("c", "a", "modified"), ("c", "z", "new"), ("d", "a", "removed")]
     assert incremental.has_changes(changes) and not incremental.has_changes(incremental.detect_changes(old, old))
     assert rows(incremental.change_counts(changes)) == [("modified", 1), ("new", 1), ("removed", 1)]
+
+
+def test_report_takes_no_entities_through_the_driver(spark, cells):
+    """Stored sides have a row or more per entity in files of a few bytes a row: by that size Spark would broadcast millions of rows."""
+    by_entity = stored_by(cells, "cells", "equipamento")
+    history = stored(spark.createDataFrame([("E1", D(2024, 1, 2), "troca", None)], "equipamento string, data_evento date, tipo_evento string, observacoes string"), "history")
+    document = reports.report_document(reports.report_sections(by_entity, history=history))
+    plan = document._jdf.queryExecution().executedPlan().toString()
+    of_entities = [x for x in plan.split("\n") if "Broadcast" in x and "Join" in x and "__part" not in x]
+    assert "SortMergeJoin" in plan and not of_entities
+    numbers = [r["numero"] for r in document.collect()]
+    assert sorted(numbers) == list(range(1, len(numbers) + 1))

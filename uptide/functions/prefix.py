@@ -78,6 +78,7 @@ def number_sections(sections: Sequence[DataFrame], key: str, section: str, order
 
     A row's number is the number of rows of earlier keys and sections plus its place in its own section. Only the sizes, one row
     per key and section, are sorted over the whole table; frames that are stored by ``key`` are numbered without an exchange.
+    Both sides lie by key, so they are merged: their files are so small beside their rows that Spark would broadcast millions.
     """
     sizes = None
     for rows in sections:
@@ -94,7 +95,7 @@ def number_sections(sections: Sequence[DataFrame], key: str, section: str, order
     place = F.row_number().over(Window.partitionBy(key, section).orderBy(*order))
     numbered = None
     for rows in sections:
-        part = rows.withColumn("__place", place).join(offsets, [key, section])
+        part = rows.withColumn("__place", place).join(offsets.hint("merge"), [key, section])
         part = part.select((F.col("__before") + F.col("__place")).alias(name), *rows.columns)
         numbered = part if numbered is None else numbered.unionByName(part)
     return numbered

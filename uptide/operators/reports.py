@@ -273,6 +273,7 @@ def report_sections(cells: DataFrame, prescribed: DataFrame | None = None, histo
     """The lines of ``report_lines``, a frame per section.
 
     Every section reads the inputs again, so hand in stored tables, the cells by entity; the figures of the header are stored here.
+    Sides of a row or more per entity are merged: by the size of a few packed columns Spark would take them through the driver.
     """
     kpis = stored_by(entity_kpis(cells), "kpis", "equipamento")
 
@@ -307,8 +308,8 @@ def report_sections(cells: DataFrame, prescribed: DataFrame | None = None, histo
         from uptide.operators.events import events_in_period
 
         period = kpis.select(F.col("equipamento").alias("entity"), F.explode(F.array("inicio", "fim")).alias("day"))
-        seen = events_in_period(history, period, ("✅ sim", "—"))
-        without = kpis.join(history.select("equipamento").distinct(), "equipamento", "left_anti")
+        seen = events_in_period(history.hint("merge"), period, ("✅ sim", "—"))
+        without = kpis.join(history.select("equipamento").distinct().hint("merge"), "equipamento", "left_anti")
         parts += [
             fixed(1, EVENT_LINES),
             line(
@@ -346,7 +347,7 @@ def report_sections(cells: DataFrame, prescribed: DataFrame | None = None, histo
     ]
     if prescribed is not None:
         known = prescribed.filter(F.col("data_prescrita").isNotNull()).join(
-            kpis.select("equipamento"), "equipamento", "left_semi"
+            kpis.select("equipamento").hint("merge"), "equipamento", "left_semi"
         )
         texts = F.array(
             F.lit(""),
